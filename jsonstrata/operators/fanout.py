@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from jsonstrata.functions.names import EXTRACT_PREFIX, split_names
-from jsonstrata.operators.parse import parse_messages, with_corrupt_field
+from jsonstrata.operators.parse import CORRUPT_COLUMN, parse_messages, typed_document
 
 
 def fan_out(messages: DataFrame, schemas: Mapping[str, StructType]) -> dict[str, DataFrame]:
@@ -27,19 +27,15 @@ def fan_out_counts(
     The counts are combined map-side into a single row, which is then turned into one row per tag.
     """
     etl = set(split_names(etl_columns))
-    corrupt = messages.sparkSession.conf.get("spark.sql.columnNameOfCorruptRecord")
     tags = list(schemas)
     docs = messages.select(
-        *[
-            F.from_json("json", with_corrupt_field(schemas[t], corrupt)).alias(f"d{i}")
-            for i, t in enumerate(tags)
-        ]
+        *[typed_document("json", schemas[t]).alias(f"d{i}") for i, t in enumerate(tags)]
     )
     counts = []
     for i, tag in enumerate(tags):
         doc = F.col(f"d{i}")
         business = [n for n in schemas[tag].names if n.removeprefix(EXTRACT_PREFIX) not in etl]
-        unreadable = doc.getField(corrupt).isNotNull()
+        unreadable = doc.getField(CORRUPT_COLUMN).isNotNull()
         filled = reduce(or_, [doc.getField(n).isNotNull() for n in business], F.lit(False))
         counts.append(F.count_if(unreadable).alias(f"u{i}"))
         counts.append(F.count_if(~unreadable & filled).alias(f"v{i}"))

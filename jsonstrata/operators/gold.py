@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from jsonstrata.functions.names import quoted
 from jsonstrata.functions.scalars import EVENT_TIME_COLUMN, parse_event_time
-from jsonstrata.operators.quality import distinct_rows, project
+from jsonstrata.operators.quality import distinct_rows, has_map, project
 from jsonstrata.operators.skew import DEFAULT_LIMITS, JoinLimits, fits_broadcast, salted_join
 
 
@@ -30,7 +30,10 @@ def rows_not_in_target(
         return incoming.join(F.broadcast(known), match, "left_anti")
     # Distinct rows first: copies of one row would otherwise share a split.
     rows = distinct_rows(incoming).withColumn("_id", F.col(key))
-    spread = [F.to_json(F.struct(*[quoted(c) for c in incoming.columns]))]
+    spread = [
+        F.to_json(quoted(f.name)) if has_map(f.dataType) else F.col(quoted(f.name))
+        for f in incoming.schema.fields
+    ]
     kept = salted_join(rows, target_ids.distinct(), "_id", "left_anti", spread, limits)
     return project(kept, incoming.columns)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
@@ -13,9 +13,15 @@ CORRUPT_COLUMN = "_corrupt_record"
 ORIGIN_COLUMNS = ("source", "partition", "offset")
 
 
-def with_corrupt_field(schema: StructType, name: str) -> StructType:
-    """The schema plus the field that receives text which does not fit it."""
-    return StructType([*schema.fields, StructField(name, StringType())])
+def typed_document(json: str, schema: StructType) -> Column:
+    """The JSON column as a struct of the schema's fields and ``_corrupt_record``.
+
+    The options are the defaults, but stating them keeps the optimizer from reading only the
+    fields a query uses: whether a document fits the schema must not depend on that.
+    """
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN}
+    fields = [*schema.fields, StructField(CORRUPT_COLUMN, StringType())]
+    return F.from_json(json, StructType(fields), options)
 
 
 def parse_messages(messages: DataFrame, schema: StructType | ArrayType) -> DataFrame:
@@ -25,28 +31,22 @@ def parse_messages(messages: DataFrame, schema: StructType | ArrayType) -> DataF
     ``_corrupt_record``: the original text where it does not fit the schema, else null. A schema
     that is an array of structs gives one row per element.
     """
-    origin = [
-        F.col(c).alias(f"_msg_{c}") for c in ORIGIN_COLUMNS if c in messages.columns
-    ]
-    kept = [f"_msg_{c}" for c in ORIGIN_COLUMNS if c in messages.columns]
-    corrupt = messages.sparkSession.conf.get("spark.sql.columnNameOfCorruptRecord")
+    present = [c for c in ORIGIN_COLUMNS if c in messages.columns]
+    origin = [F.col(c).alias(f"_msg_{c}") for c in present]
+    kept = [f"_msg_{c}" for c in present]
     if isinstance(schema, ArrayType):
+        document = F.from_json("json", schema, {"mode": "PERMISSIVE"})
         unread = F.col("json").isNotNull() & F.col("_doc").isNull()
-        rows = messages.select(
-            *origin, F.col("json"), F.from_json("json", schema).alias("_doc")
-        ).select(
+        rows = messages.select(*origin, "json", document.alias("_doc")).select(
             *kept,
             F.when(unread, F.col("json")).alias(CORRUPT_COLUMN),
             F.explode_outer("_doc").alias("_doc"),
         )
         fields = [F.col("_doc").getField(n).alias(n) for n in schema.elementType.names]
         return rows.select(*kept, *fields, CORRUPT_COLUMN)
-    document = F.from_json("json", with_corrupt_field(schema, corrupt))
-    rows = messages.select(*origin, document.alias("_doc"))
+    rows = messages.select(*origin, typed_document("json", schema).alias("_doc"))
     fields = [F.col("_doc").getField(n).alias(n) for n in schema.names]
-    return rows.select(
-        *kept, *fields, F.col("_doc").getField(corrupt).alias(CORRUPT_COLUMN)
-    )
+    return rows.select(*kept, *fields, F.col("_doc").getField(CORRUPT_COLUMN).alias(CORRUPT_COLUMN))
 
 
 def readable(parsed: DataFrame) -> DataFrame:

@@ -38,20 +38,20 @@ def split_null_records(
     return df.where(keep), df.where(~keep)
 
 
-def _has_map(data_type: DataType) -> bool:
+def has_map(data_type: DataType) -> bool:
     if isinstance(data_type, MapType):
         return True
     if isinstance(data_type, ArrayType):
-        return _has_map(data_type.elementType)
+        return has_map(data_type.elementType)
     if isinstance(data_type, StructType):
-        return any(_has_map(f.dataType) for f in data_type.fields)
+        return any(has_map(f.dataType) for f in data_type.fields)
     return False
 
 
 def distinct_rows(df: DataFrame) -> DataFrame:
     """Full-row de-duplication. Copies are combined before the shuffle, so a row that is repeated
     very often does not load one task. Columns holding maps are compared through their JSON."""
-    maps = [f.name for f in df.schema.fields if _has_map(f.dataType)]
+    maps = [f.name for f in df.schema.fields if has_map(f.dataType)]
     if not maps:
         return df.dropDuplicates()
     keys = {f"_key_{i}": F.to_json(quoted(c)) for i, c in enumerate(maps)}

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -18,8 +19,9 @@ from jsonstrata.operators.parse import parse_messages, readable, unreadable
 from jsonstrata.operators.progress import after_watermark
 from jsonstrata.operators.quality import split_null_records, standardise
 from jsonstrata.operators.sqlflow import transformed
-from jsonstrata.plans.spec import GOLD_LAYER, RAW_LAYER, GoldTag, LoadPlan, RawTag
+from jsonstrata.plans.spec import GOLD_LAYER, INTAKE, RAW_LAYER, GoldTag, LoadPlan, RawTag
 from jsonstrata.sinks.signals import archive_payloads, completion_event, quarantine_rows
+from jsonstrata.sinks.tables import owner_of
 from jsonstrata.sources.envelopes import resolve_claim_checks, resolved, unresolved
 from jsonstrata.sources.messages import sample_messages
 
@@ -27,8 +29,8 @@ from jsonstrata.sources.messages import sample_messages
 def _audit_keys(df: DataFrame, keys: Iterable[str]) -> DataFrame:
     # Tags have different keys but share one audit table, so the keys are kept as one JSON text.
     columns = [quoted(k) for k in keys]
-    return df.select(F.to_json(F.struct(*columns)).alias("record_key") if columns
-                     else F.lit(None).cast("string").alias("record_key"))
+    key = F.to_json(F.struct(*columns)) if columns else F.lit(None).cast("string")
+    return df.select(key.alias("record_key"))
 
 
 def _audit(loaded: DataFrame, rejected: DataFrame, tag: str, keys: Iterable[str]) -> DataFrame:
@@ -49,83 +51,78 @@ def _run_all(spark: SparkSession, jobs: list[Callable[[], object]], threads: int
         job.result()
 
 
+@contextmanager
+def _records(
+    messages: DataFrame, tag: RawTag | GoldTag, sql, plan: LoadPlan, owner: dict, batch_id: str
+) -> Iterator[DataFrame]:
+    """The tag's flat records, kept for the writes that follow, after its unreadable messages have
+    gone to the quarantine. Documents are parsed once and flattened once."""
+    parsed = parse_messages(messages, tag.schema).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        plan.quarantine.write(quarantine_rows(unreadable(parsed)), batch_id, owner)
+        with transformed(sql, {tag.name: strip_prefix(readable(parsed))}) as flat:
+            records = strip_prefix(flat).persist(StorageLevel.MEMORY_AND_DISK)
+            try:
+                yield records
+            finally:
+                records.unpersist()
+    finally:
+        parsed.unpersist()
+
+
 def load_raw_tag(messages: DataFrame, tag: RawTag, plan: LoadPlan, batch_id: str) -> int:
     """RAW, CURATED, audit, quarantine and completion event of one tag; returns the RAW rows.
 
-    The documents are parsed once. CURATED and the audit's loaded rows read the RAW rows just
-    written, so they neither repeat the flattening nor depend on cached data.
+    CURATED and the audit's loaded rows read the RAW rows just written, with the columns they need.
     """
     spark = messages.sparkSession
     owner = {"layer": RAW_LAYER, "tag": tag.name}
-    parsed = parse_messages(messages, tag.schema).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        with transformed(tag.flatten, {tag.name: strip_prefix(readable(parsed))}) as flat:
-            records = parse_event_time(strip_prefix(flat), plan.time_column)
-            valid, rejected = split_null_records(records, plan.raw_etl_columns, plan.null_rule)
-            raw = plan.raw(tag.name)
-            rows = raw.write(valid, batch_id, mode=plan.raw_mode)
-            only = None if plan.raw_mode == "overwrite" else batch_id
-            loaded = raw.read(spark, only_batch=only)
-            audit = _audit(loaded, rejected, tag.name, tag.audit_keys)
-            bad = quarantine_rows(unreadable(parsed))
-
-            def curate() -> None:
-                with transformed(tag.curate, {f"curate_{tag.name}": loaded}) as curated:
-                    plan.curated(tag.name).write(
-                        standardise(curated), batch_id, mode=plan.curated_mode
-                    )
-
-            jobs = [
-                curate,
-                lambda: plan.raw_audit.write(audit, batch_id, {"tag": tag.name}),
-                lambda: plan.quarantine.write(bad, batch_id, owner),
-            ]
-            _run_all(spark, jobs, plan.parallel_writes)
-        event = completion_event(
-            spark, RAW_LAYER, tag.name, batch_id, rows, plan.raw_signal_pattern
+    with _records(messages, tag, tag.flatten, plan, owner, batch_id) as records:
+        valid, rejected = split_null_records(
+            parse_event_time(records, plan.time_column), plan.raw_etl_columns, plan.null_rule
         )
-        plan.load_events.write(event, batch_id, owner)
-    finally:
-        parsed.unpersist()
+        raw = plan.raw(tag.name)
+        rows = raw.write(valid, batch_id, mode=plan.raw_mode)
+        loaded = raw.read(spark, only_batch=owner_of(batch_id, plan.raw_mode))
+        audit = _audit(loaded, rejected, tag.name, tag.audit_keys)
+
+        def curate() -> None:
+            with transformed(tag.curate, {f"curate_{tag.name}": loaded}) as curated:
+                plan.curated(tag.name).write(
+                    standardise(curated), batch_id, mode=plan.curated_mode
+                )
+
+        jobs = [curate, lambda: plan.raw_audit.write(audit, batch_id, {"tag": tag.name})]
+        _run_all(spark, jobs, plan.parallel_writes)
+    event = completion_event(spark, RAW_LAYER, tag.name, batch_id, rows, plan.raw_signal_pattern)
+    plan.load_events.write(event, batch_id, owner)
     return rows
 
 
 def load_gold_tag(messages: DataFrame, tag: GoldTag, plan: LoadPlan, batch_id: str) -> int:
     """GOLD rows of one tag, insert-only or as history, with audit and quarantine."""
     spark = messages.sparkSession
-    parsed = parse_messages(messages, tag.schema).persist(StorageLevel.MEMORY_AND_DISK)
     by_id = tag.name in plan.insert_only_tags
     owner = {"layer": GOLD_LAYER, "tag": tag.name}
-    try:
-        with transformed(tag.transform, {tag.name: strip_prefix(readable(parsed))}) as flat:
-            valid, rejected = split_null_records(
-                strip_prefix(flat), plan.gold_etl_columns, plan.null_rule
-            )
-            gold = plan.gold(tag.name)
-            if by_id:
-                gold.create(spark, parse_event_time(valid, plan.time_column).schema)
-                # Without the batch's own rows a replay finds the target as it was before.
-                target = gold.read(spark, without_batch=batch_id)
-                new = insert_only(valid, target, tag.id_column, plan.time_column, plan.limits)
-            else:
-                new = history(valid, plan.time_column)
-            rows = gold.write(new, batch_id, mode=plan.gold_mode)
-            only = None if plan.gold_mode == "overwrite" else batch_id
-            loaded = gold.read(spark, only_batch=only)
-            audit = _audit(loaded, rejected, tag.name, tag.audit_keys)
-            bad = quarantine_rows(unreadable(parsed))
-            jobs = [
-                lambda: plan.gold_audit.write(audit, batch_id, {"tag": tag.name}),
-                lambda: plan.quarantine.write(bad, batch_id, owner),
-            ]
-            _run_all(spark, jobs, plan.parallel_writes)
-        if not by_id:
-            event = completion_event(
-                spark, GOLD_LAYER, tag.name, batch_id, rows, plan.gold_signal_pattern
-            )
-            plan.load_events.write(event, batch_id, owner)
-    finally:
-        parsed.unpersist()
+    with _records(messages, tag, tag.transform, plan, owner, batch_id) as records:
+        valid, rejected = split_null_records(records, plan.gold_etl_columns, plan.null_rule)
+        gold = plan.gold(tag.name)
+        if by_id:
+            gold.create(spark, parse_event_time(valid, plan.time_column).schema)
+            # Without the batch's own rows a replay finds the target as it was before.
+            target = gold.read(spark, without_batch=batch_id)
+            new = insert_only(valid, target, tag.id_column, plan.time_column, plan.limits)
+        else:
+            new = history(valid, plan.time_column)
+        rows = gold.write(new, batch_id, mode=plan.gold_mode)
+        loaded = gold.read(spark, only_batch=owner_of(batch_id, plan.gold_mode))
+        audit = _audit(loaded, rejected, tag.name, tag.audit_keys)
+        plan.gold_audit.write(audit, batch_id, {"tag": tag.name})
+    if not by_id:
+        event = completion_event(
+            spark, GOLD_LAYER, tag.name, batch_id, rows, plan.gold_signal_pattern
+        )
+        plan.load_events.write(event, batch_id, owner)
     return rows
 
 
@@ -142,29 +139,28 @@ def load_batch(
 
     ``keep_progress`` is for topic messages: loaded offsets are skipped and then advanced, and the
     payloads are archived. File messages rely on the stream's checkpoint instead. ``payloads``
-    resolves the claim-checks of messages that have a ``payload_ref``. ``sample`` loads the first
+    resolves the claim-checks of messages, which then have a ``payload_ref`` column. ``sample`` loads the first
     messages only, without archive and progress.
 
     Every write replaces what an earlier attempt at the same batch left, and progress is stored
     last, so a batch that failed anywhere can simply be run again.
     """
     spark = messages.sparkSession
-    plan.create_databases(spark)
+    plan.create(spark)
     if sample is not None:
         messages = sample_messages(messages, sample)
-    if "payload_ref" in messages.columns:
-        if payloads is not None:
-            messages = resolve_claim_checks(messages, payloads, plan.limits)
-        messages = messages.persist(StorageLevel.MEMORY_AND_DISK)
-        readable_messages = resolved(messages)
-    else:
-        messages = messages.persist(StorageLevel.MEMORY_AND_DISK)
-        readable_messages = messages
+    messages = envelopes = messages.persist(StorageLevel.MEMORY_AND_DISK)
+    if payloads is not None:
+        resolving = resolve_claim_checks(envelopes, payloads, plan.limits)
+        messages = resolving.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         plan.batch_metrics.write(batch_volume(messages), batch_id)
-        if "payload_ref" in messages.columns:
+        readable_messages = messages
+        if payloads is not None:
+            envelopes.unpersist()
+            readable_messages = resolved(messages)
             missing = quarantine_rows(unresolved(messages))
-            plan.quarantine.write(missing, batch_id, {"layer": "INTAKE", "tag": "all"})
+            plan.quarantine.write(missing, batch_id, {"layer": INTAKE, "tag": "all"})
         track = keep_progress and sample is None
         if track:
             archive_payloads(readable_messages, plan.archive_directory, batch_id)
@@ -182,11 +178,10 @@ def load_batch(
 
             return run
 
-        if track:
-            plan.watermarks.create(spark)
         raw_jobs = [job(load_raw_tag, RAW_LAYER, tag) for tag in plan.raw_tags]
         _run_all(spark, raw_jobs, plan.parallel_tags)
         gold_jobs = [job(load_gold_tag, GOLD_LAYER, tag) for tag in plan.gold_tags]
         _run_all(spark, gold_jobs, plan.parallel_tags)
     finally:
         messages.unpersist()
+        envelopes.unpersist()

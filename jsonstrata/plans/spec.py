@@ -18,6 +18,17 @@ from jsonstrata.sinks.tables import BatchTable
 # Names of the two layers that keep progress.
 RAW_LAYER = "RAW_CURPIT"
 GOLD_LAYER = "GOLD_PIT"
+# Where messages are quarantined that never reach a layer.
+INTAKE = "INTAKE"
+
+AUDIT_SCHEMA = "record_key string, data_status string, table_name string"
+QUARANTINE_SCHEMA = (
+    "source string, partition int, offset bigint, json string, reason string, error_time timestamp"
+)
+EVENT_SCHEMA = (
+    "batch string, rows bigint, completed_at timestamp, signal_name string, signal_text string"
+)
+METRICS_SCHEMA = "messages bigint, resolved bigint, payload_chars bigint"
 
 
 @dataclass(frozen=True)
@@ -129,9 +140,19 @@ class LoadPlan:
     def archive_directory(self) -> str:
         return f"{self.root}/archive"
 
-    def create_databases(self, spark: SparkSession) -> None:
+    def create(self, spark: SparkSession) -> None:
+        """Databases, and the tables that tags share: made before tags are loaded side by side."""
         for layer in ("raw", "curated", "gold", "gold_history", "work"):
             spark.sql(
                 f"CREATE DATABASE IF NOT EXISTS {self.database(layer)} "
                 f"LOCATION '{self.root}/{layer}'"
             )
+        for shared, ddl in [
+            (self.raw_audit, AUDIT_SCHEMA),
+            (self.gold_audit, AUDIT_SCHEMA),
+            (self.quarantine, QUARANTINE_SCHEMA),
+            (self.load_events, EVENT_SCHEMA),
+            (self.batch_metrics, METRICS_SCHEMA),
+        ]:
+            shared.create(spark, spark.createDataFrame([], ddl).schema)
+        self.watermarks.create(spark)

@@ -85,9 +85,8 @@ def gold_insert_only_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 def completion_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A signal per loaded table; the clock value in its name is masked."""
     events = []
-    for name in ("orders", "customer", "lineitem"):
-        rows = table(spark, sf_dir, name).select(F.col(table(spark, sf_dir, name).columns[0]).alias("key"))
-        loaded = new_table(spark, name).write(rows, "b-0")
+    for name, key in [("orders", "o_orderkey"), ("customer", "c_custkey"), ("lineitem", "l_orderkey")]:
+        loaded = new_table(spark, name).write(table(spark, sf_dir, name).select(key), "b-0")
         events.append(completion_event(spark, "RAW_CURPIT", name, "b-0", loaded, "ready_"))
     signals = events[0].unionByName(events[1]).unionByName(events[2])
     return signals.select(

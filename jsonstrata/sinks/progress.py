@@ -50,7 +50,6 @@ class WatermarkTable:
 
     def read(self, spark: SparkSession, without_batch: str | None = None) -> DataFrame:
         """``(layer, tag, partition, offset)`` of the newest snapshot of every layer and tag."""
-        self.create(spark)
         rows = spark.read.table(self.table.name)
         if without_batch is not None:
             rows = rows.where(F.col("batch") != without_batch)
@@ -59,7 +58,6 @@ class WatermarkTable:
 
     def stored(self, spark: SparkSession, layer: str, tag: str, batch_id: str) -> Progress:
         """Progress of one layer and tag as the batches before ``batch_id`` left it."""
-        self.create(spark)
         rows = spark.read.table(self.table.name).where(
             (F.col("layer") == layer) & (F.col("tag") == tag) & (F.col("batch") != batch_id)
         )

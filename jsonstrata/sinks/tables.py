@@ -31,6 +31,11 @@ def type_ddl(data_type: DataType) -> str:
     return data_type.simpleString()
 
 
+def owner_of(batch_id: str, mode: str) -> str:
+    """The partition that a batch writes."""
+    return CURRENT if mode == "overwrite" else batch_id
+
+
 @dataclass(frozen=True)
 class BatchTable:
     """A Parquet table in the catalog, one partition per batch.
@@ -100,8 +105,7 @@ class BatchTable:
             raise ValueError(f"mode must be 'append' or 'overwrite', not {mode!r}")
         spark = df.sparkSession
         self.create(spark, df.schema)
-        owner = CURRENT if mode == "overwrite" else batch_id
-        directory, spec = self._directory(owner, values or {})
+        directory, spec = self._directory(owner_of(batch_id, mode), values or {})
         rows, seen = observed_count(self._matched(df), f"write {self.name} {directory}")
         rows.write.mode("overwrite").parquet(directory)
         spark.sql(f"ALTER TABLE {self.name} ADD IF NOT EXISTS PARTITION ({spec})")

@@ -50,7 +50,7 @@ class WatermarkTable:
 
     def read(self, spark: SparkSession, without_batch: str | None = None) -> DataFrame:
         """``(layer, tag, partition, offset)`` of the newest snapshot of every layer and tag."""
-        rows = spark.read.table(self.table.name)
+        rows = self.table.read(spark, with_partitions=True)
         if without_batch is not None:
             rows = rows.where(F.col("batch") != without_batch)
         # Snapshots only move forward, so the larger offset is the newer one.
@@ -58,7 +58,7 @@ class WatermarkTable:
 
     def stored(self, spark: SparkSession, layer: str, tag: str, batch_id: str) -> Progress:
         """Progress of one layer and tag as the batches before ``batch_id`` left it."""
-        rows = spark.read.table(self.table.name).where(
+        rows = self.table.read(spark, with_partitions=True).where(
             (F.col("layer") == layer) & (F.col("tag") == tag) & (F.col("batch") != batch_id)
         )
         seq = rows.agg(F.max("seq").alias("seq")).first()["seq"] or 0

@@ -121,6 +121,8 @@ class BatchTable:
         with_partitions: bool = False,
     ) -> DataFrame:
         """The table's rows; the batch conditions prune directories."""
+        # Another session, such as a stream's, may have rewritten files since the last listing.
+        spark.catalog.refreshTable(self.name)
         rows = spark.read.table(self.name)
         if only_batch is not None:
             rows = rows.where(F.col(BATCH_COLUMN) == only_batch)

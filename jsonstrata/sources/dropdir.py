@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,7 +29,9 @@ def file_identity(path: Column, modified: Column) -> dict[str, Column]:
 
 
 def _file_messages(files: DataFrame, max_file_bytes: int) -> DataFrame:
-    path, modified = F.col("_metadata.file_path"), F.col("_metadata.file_modification_time")
+    # The metadata holds the path URL-encoded, but with plus signs as they are.
+    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    modified = F.col("_metadata.file_modification_time")
     identity = [c.alias(name) for name, c in file_identity(path, modified).items()]
     # A test on file metadata prunes the file list, so larger files are never opened.
     return files.where(F.col("_metadata.file_size").between(1, max_file_bytes)).select(
@@ -114,7 +118,8 @@ def read_drop_batch(
     """
     limits = {"suffix": suffix, "stable_millis": stable_millis, "max_file_bytes": max_file_bytes}
     chosen = oldest_first(eligible(list_files(spark, directory), **limits), max_files)
-    paths = [row["path"] for row in chosen.select("path").collect()]
+    # A path is read as a pattern unless its special characters are escaped.
+    paths = [re.sub(r"([\\{}\[\]*?])", r"\\\1", row["path"]) for row in chosen.collect()]
     files = spark.read.format("text").option("wholetext", True)
     if not paths:
         return _file_messages(files.load(directory).where(F.lit(False)), max_file_bytes)

@@ -26,10 +26,10 @@ def open_envelopes(messages: DataFrame, reference_field: str = REFERENCE_FIELD)
 
 def read_payloads(spark: SparkSession, root: str) -> DataFrame:
     """``(payload_ref, payload)``: path and whole text of every file under ``root``."""
-    files = spark.read.format("text").option("wholetext", True).load(root)
+    files = spark.read.format("binaryFile").load(root)
     return files.select(
-        path_key(F.col("_metadata.file_path")).alias("payload_ref"),
-        F.col("value").alias("payload"),
+        path_key(F.col("path")).alias("payload_ref"),
+        F.col("content").cast("string").alias("payload"),
     )
 
 

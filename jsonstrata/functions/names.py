@@ -76,19 +76,8 @@ def _rename_inside(column: Column, before: DataType, after: DataType) -> Column:
         ]
         # Without the guard a null struct would come back as a struct of nulls.
         return F.when(column.isNotNull(), F.struct(*fields))
-    if isinstance(before, ArrayType):
-        return F.transform(
-            column, lambda x: _rename_inside(x, before.elementType, after.elementType)
-        )
-    if before.keyType != after.keyType:
-        column = F.transform_keys(
-            column, lambda k, _: _rename_inside(k, before.keyType, after.keyType)
-        )
-    if before.valueType != after.valueType:
-        column = F.transform_values(
-            column, lambda _, v: _rename_inside(v, before.valueType, after.valueType)
-        )
-    return column
+    # Inside arrays and maps nothing can be pruned; a cast renames by position in generated code.
+    return column.cast(after)
 
 
 def strip_prefix(df: DataFrame, prefix: str = EXTRACT_PREFIX) -> DataFrame:

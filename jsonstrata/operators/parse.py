@@ -33,20 +33,26 @@ def parse_messages(messages: DataFrame, schema: StructType | ArrayType) -> DataF
     """
     present = [c for c in ORIGIN_COLUMNS if c in messages.columns]
     origin = [F.col(c).alias(f"_msg_{c}") for c in present]
-    kept = [f"_msg_{c}" for c in present]
     if isinstance(schema, ArrayType):
-        document = F.from_json("json", schema, {"mode": "PERMISSIVE"})
-        unread = F.col("json").isNotNull() & F.col("_doc").isNull()
-        rows = messages.select(*origin, "json", document.alias("_doc")).select(
-            *kept,
-            F.when(unread, F.col("json")).alias(CORRUPT_COLUMN),
-            F.explode_outer("_doc").alias("_doc"),
-        )
-        fields = [F.col("_doc").getField(n).alias(n) for n in schema.elementType.names]
-        return rows.select(*kept, *fields, CORRUPT_COLUMN)
-    rows = messages.select(*origin, typed_document("json", schema).alias("_doc"))
-    fields = [F.col("_doc").getField(n).alias(n) for n in schema.names]
-    return rows.select(*kept, *fields, F.col("_doc").getField(CORRUPT_COLUMN).alias(CORRUPT_COLUMN))
+        return _array_documents(messages, origin, schema)
+    # As a generator the document is read once per message. As a plain expression it would be
+    # copied into every filter that is pushed below the projection, and read again there.
+    return messages.select(*origin, F.inline_outer(F.array(typed_document("json", schema))))
+
+
+def _array_documents(
+    messages: DataFrame, origin: list[Column], schema: ArrayType
+) -> DataFrame:
+    document = F.from_json("json", schema, {"mode": "PERMISSIVE"})
+    # One entry per message, for the same reason as above; it stays an array for now.
+    entry = F.struct(F.col("json").alias("_json"), document.alias("_doc"))
+    rows = messages.select(*origin, F.inline_outer(F.array(entry)))
+    unread = F.col("_json").isNotNull() & F.col("_doc").isNull()
+    kept = [c for c in rows.columns if c not in ("_json", "_doc")]
+    marked = rows.select(*kept, "_doc", F.when(unread, F.col("_json")).alias(CORRUPT_COLUMN))
+    return marked.select(*kept, CORRUPT_COLUMN, F.inline_outer("_doc")).select(
+        *kept, *[quoted(n) for n in schema.elementType.names], CORRUPT_COLUMN
+    )
 
 
 def readable(parsed: DataFrame) -> DataFrame:

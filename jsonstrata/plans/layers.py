@@ -178,10 +178,10 @@ def load_batch(
 
             return run
 
-        raw_jobs = [job(load_raw_tag, RAW_LAYER, tag) for tag in plan.raw_tags]
-        _run_all(spark, raw_jobs, plan.parallel_tags)
-        gold_jobs = [job(load_gold_tag, GOLD_LAYER, tag) for tag in plan.gold_tags]
-        _run_all(spark, gold_jobs, plan.parallel_tags)
+        # The layers do not depend on each other; one thread would take RAW before GOLD.
+        jobs = [job(load_raw_tag, RAW_LAYER, tag) for tag in plan.raw_tags]
+        jobs += [job(load_gold_tag, GOLD_LAYER, tag) for tag in plan.gold_tags]
+        _run_all(spark, jobs, plan.parallel_tags)
     finally:
         messages.unpersist()
         envelopes.unpersist()

@@ -6,21 +6,23 @@ import pytest
 from pyspark.sql import SparkSession
 
 ROOT = Path(__file__).resolve().parent.parent
-sys.path.insert(0, str(ROOT))
+sys.path[:0] = [str(ROOT), str(ROOT / "tests")]
 
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     base = tmp_path_factory.mktemp("spark")
     session = (
-        SparkSession.builder.master("local[8]")
+        SparkSession.builder.master("local[4]")
         .appName("jsonstrata-tests")
         .config("spark.ui.enabled", "false")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "2")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.warehouse.dir", str(base / "warehouse"))
         .config("spark.checkpoint.dir", str(base / "shared"))
         .config("spark.driver.memory", "8g")
+        .config("spark.default.parallelism", "2")
+        .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

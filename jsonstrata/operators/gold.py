@@ -8,7 +8,13 @@ from pyspark.sql import functions as F
 from jsonstrata.functions.names import quoted
 from jsonstrata.functions.scalars import EVENT_TIME_COLUMN, parse_event_time
 from jsonstrata.operators.quality import distinct_rows, has_map, project
-from jsonstrata.operators.skew import DEFAULT_LIMITS, JoinLimits, fits_broadcast, salted_join
+from jsonstrata.operators.skew import (
+    DEFAULT_LIMITS,
+    JoinLimits,
+    fits_broadcast,
+    hot_keys,
+    salted_join,
+)
 
 
 def rows_not_in_target(
@@ -34,7 +40,9 @@ def rows_not_in_target(
         F.to_json(quoted(f.name)) if has_map(f.dataType) else F.col(quoted(f.name))
         for f in incoming.schema.fields
     ]
-    kept = salted_join(rows, target_ids.distinct(), "_id", "left_anti", spread, limits)
+    # Counted with the copies, which needs the id column alone and can only add splits.
+    hot = hot_keys(incoming.select(F.col(key).alias("_id")), "_id", limits)
+    kept = salted_join(rows, target_ids.distinct(), "_id", "left_anti", spread, limits, hot)
     return project(kept, incoming.columns)
 
 

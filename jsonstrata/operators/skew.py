@@ -56,15 +56,17 @@ def salted_join(
     how: str,
     spread: list[str] | list[Column],
     limits: JoinLimits = DEFAULT_LIMITS,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Equi-join on ``key`` where hot keys of ``left`` are divided over several tasks.
 
     ``spread`` are the columns whose hash picks the split of a left row. They should tell rows of
     one key apart; a hash, not a random number, keeps recomputed tasks consistent. The right rows
     of a hot key are repeated once per split, so the result is that of the plain join. ``how`` is
-    a join type that keeps left rows at most once per match: inner, left or left_anti.
+    a join type that keeps left rows at most once per match: inner, left or left_anti. ``hot``
+    replaces the ``hot_keys`` of ``left`` where a cheaper frame has the same hot keys.
     """
-    hot = F.broadcast(hot_keys(left, key, limits))
+    hot = F.broadcast(hot_keys(left, key, limits) if hot is None else hot)
     row_hash = F.xxhash64(*spread)
     salt = (
         F.when(F.col(key).isNull(), F.pmod(row_hash, F.lit(limits.max_splits)))

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+_views = threading.Lock()
 
 
 @dataclass(frozen=True)
@@ -27,13 +31,27 @@ class StagedFlow:
 
 
 def run_sql(sql: str, frames: Mapping[str, DataFrame], args: dict | None = None) -> DataFrame:
-    """Run ``sql`` with each frame bound to its ``{name}`` placeholder.
+    """Run ``sql`` over named frames.
 
-    Nothing is registered in the catalog, so two tags can use the same names at once. Literal
-    braces are written twice.
+    A statement that writes its frames as ``{name}`` gets them bound directly; nothing is
+    registered, and literal braces are written twice. A statement that uses plain names finds the
+    frames as temporary views of these names. They exist only while the statement is analysed, one
+    statement at a time, so tags that run side by side can use the same names.
     """
     spark = next(iter(frames.values())).sparkSession
-    return spark.sql(sql, args or None, **frames)
+    bound = {name: df for name, df in frames.items() if "{" + name + "}" in sql}
+    if bound:
+        return spark.sql(sql, args or None, **bound)
+    with _views:
+        for name, df in frames.items():
+            # Dropping a view also drops cached data of the same plan. The filter, which the
+            # optimizer removes, makes it another plan.
+            df.where(F.lit(True)).createOrReplaceTempView(name)
+        try:
+            return spark.sql(sql, args or None)
+        finally:
+            for name in frames:
+                spark.catalog.dropTempView(name)
 
 
 def run_staged(flow: StagedFlow, frames: Mapping[str, DataFrame]) -> tuple[DataFrame, list[DataFrame]]:
@@ -44,18 +62,12 @@ def run_staged(flow: StagedFlow, frames: Mapping[str, DataFrame]) -> tuple[DataF
     for stage in flow.stages:
         if stage.name in known:
             raise ValueError(f"stage {stage.name!r} hides a frame of the same name")
-        frame = run_sql(stage.sql, _used(stage.sql, known))
+        frame = run_sql(stage.sql, known)
         if stage.keep:
             frame = frame.persist()
             kept.append(frame)
         known[stage.name] = frame
-    return run_sql(flow.final, _used(flow.final, known)), kept
-
-
-def _used(sql: str, known: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    # Only the frames a statement names are bound: each binding costs a plan registration.
-    used = {name: df for name, df in known.items() if "{" + name + "}" in sql}
-    return used or dict(known)
+    return run_sql(flow.final, known), kept
 
 
 @contextmanager

@@ -11,8 +11,8 @@ from jsonstrata.operators.quality import distinct_rows, has_map, project
 from jsonstrata.operators.skew import (
     DEFAULT_LIMITS,
     JoinLimits,
-    fits_broadcast,
     hot_keys,
+    key_profile,
     salted_join,
 )
 
@@ -24,16 +24,21 @@ def rows_not_in_target(
 
     Only the id column of the target is read. While the batch's ids are few enough to broadcast,
     the target is scanned without a shuffle and only ids found in both come back. Beyond that the
-    target's distinct ids are shuffled against the incoming rows, hot ids being divided.
+    target's distinct ids are shuffled against the incoming rows, which are divided further where
+    one id, or the lack of one, has too many rows for a task.
     """
     key = quoted(id_column)
-    incoming_ids = incoming.select(F.col(key).alias("_id")).where("_id is not null").distinct()
+    ids = incoming.select(F.col(key).alias("_id"))
     target_ids = target.select(F.col(key).alias("_id")).where("_id is not null")
-    if fits_broadcast(incoming_ids, limits):
+    profile = key_profile(ids, "_id")
+    if profile.fits(limits):
+        wanted = ids.where("_id is not null").distinct()
         # A subset of the incoming ids, so the same bound holds for it.
-        known = target_ids.join(F.broadcast(incoming_ids), "_id", "left_semi").distinct()
-        match = F.col(key) == F.col("_id")
-        return incoming.join(F.broadcast(known), match, "left_anti")
+        known = target_ids.join(F.broadcast(wanted), "_id", "left_semi").distinct()
+        return incoming.join(F.broadcast(known), F.col(key) == F.col("_id"), "left_anti")
+    known = target_ids.distinct()
+    if profile.largest <= limits.rows_per_split:
+        return incoming.join(known, F.col(key) == F.col("_id"), "left_anti")
     # Distinct rows first: copies of one row would otherwise share a split.
     rows = distinct_rows(incoming).withColumn("_id", F.col(key))
     spread = [
@@ -41,8 +46,8 @@ def rows_not_in_target(
         for f in incoming.schema.fields
     ]
     # Counted with the copies, which needs the id column alone and can only add splits.
-    hot = hot_keys(incoming.select(F.col(key).alias("_id")), "_id", limits)
-    kept = salted_join(rows, target_ids.distinct(), "_id", "left_anti", spread, limits, hot)
+    hot = hot_keys(ids, "_id", limits)
+    kept = salted_join(rows, known, "_id", "left_anti", spread, limits, hot)
     return project(kept, incoming.columns)
 
 

@@ -31,6 +31,30 @@ def fits_broadcast(keys: DataFrame, limits: JoinLimits = DEFAULT_LIMITS) -> bool
     return size["rows"] <= limits.broadcast_rows and size["bytes"] <= limits.broadcast_bytes
 
 
+@dataclass(frozen=True)
+class KeyProfile:
+    """Size of a key column: distinct non-null keys, their bytes, and the rows of the largest
+    group, where rows without a key are a group too."""
+
+    keys: int
+    bytes: int
+    largest: int
+
+    def fits(self, limits: JoinLimits) -> bool:
+        return self.keys <= limits.broadcast_rows and self.bytes <= limits.broadcast_bytes
+
+
+def key_profile(df: DataFrame, key: str) -> KeyProfile:
+    """One aggregate over the key column; copies of a key combine before the shuffle."""
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    row = counts.agg(
+        F.count(key).alias("keys"),
+        F.coalesce(F.sum(F.octet_length(F.col(key).cast("string"))), F.lit(0)).alias("bytes"),
+        F.coalesce(F.max("_n"), F.lit(0)).alias("largest"),
+    ).first()
+    return KeyProfile(row["keys"], row["bytes"], row["largest"])
+
+
 def hot_keys(df: DataFrame, key: str, limits: JoinLimits = DEFAULT_LIMITS) -> DataFrame:
     """Keys with more than ``rows_per_split`` rows and the number of splits each one gets.
 

@@ -6,7 +6,14 @@ from pyspark.sql import functions as F
 from conftest import rows
 from jsonstrata.operators.gold import insert_only, rows_not_in_target
 from jsonstrata.operators.progress import after_watermark
-from jsonstrata.operators.skew import JoinLimits, fits_broadcast, hot_keys, salted_join
+from jsonstrata.operators.skew import (
+    JoinLimits,
+    KeyProfile,
+    fits_broadcast,
+    hot_keys,
+    key_profile,
+    salted_join,
+)
 from jsonstrata.sources.envelopes import resolve_claim_checks
 
 TIGHT = JoinLimits(broadcast_rows=2, rows_per_split=50, max_hot_keys=5, max_splits=4)
@@ -26,6 +33,12 @@ def test_fits_broadcast(spark):
     assert fits_broadcast(keys.where("false"), JoinLimits(broadcast_rows=0))
 
 
+def test_key_profile(spark):
+    assert key_profile(skewed(spark), "k") == KeyProfile(34, 1 + 3 + 30 * 2, 300)
+    assert key_profile(skewed(spark).where("false"), "k") == KeyProfile(0, 0, 0)
+    assert not KeyProfile(34, 64, 300).fits(TIGHT)
+
+
 def test_hot_keys_are_bounded(spark):
     assert rows(hot_keys(skewed(spark), "k", TIGHT)) == [(0, 4)]
     loose = JoinLimits(rows_per_split=1, max_hot_keys=3)
@@ -80,7 +93,10 @@ def test_watermark_filter_on_one_large_partition(spark, limits):
     assert rows(after_watermark(messages, latest, limits)) == want
 
 
-@pytest.mark.parametrize("limits", [JoinLimits(), TIGHT], ids=["broadcast", "shuffled"])
+EVEN = JoinLimits(broadcast_rows=2)
+
+
+@pytest.mark.parametrize("limits", [JoinLimits(), EVEN, TIGHT], ids=["broadcast", "even", "salted"])
 def test_insert_only_with_hot_ids_and_copies(spark, limits):
     incoming = skewed(spark).select(
         F.col("k").cast("string").alias("id"),

@@ -22,7 +22,13 @@ from jsonstrata.operators.sqlflow import transformed
 from jsonstrata.plans.spec import GOLD_LAYER, INTAKE, RAW_LAYER, GoldTag, LoadPlan, RawTag
 from jsonstrata.sinks.signals import archive_payloads, completion_event, quarantine_rows
 from jsonstrata.sinks.tables import owner_of
-from jsonstrata.sources.envelopes import resolve_claim_checks, resolved, unresolved
+from jsonstrata.sources.envelopes import (
+    open_envelopes,
+    read_payloads,
+    resolve_claim_checks,
+    resolved,
+    unresolved,
+)
 from jsonstrata.sources.messages import sample_messages
 
 
@@ -132,14 +138,15 @@ def load_batch(
     plan: LoadPlan,
     *,
     keep_progress: bool,
-    payloads: DataFrame | None = None,
+    payload_root: str | None = None,
     sample: int | None = None,
 ) -> None:
     """Run one batch of messages through RAW and GOLD for every tag.
 
     ``keep_progress`` is for topic messages: loaded offsets are skipped and then advanced, and the
-    payloads are archived. File messages rely on the stream's checkpoint instead. ``payloads``
-    resolves the claim-checks of messages, which then have a ``payload_ref`` column. ``sample`` loads the first
+    payloads are archived. File messages rely on the stream's checkpoint instead. ``payload_root``
+    is the folder of claim-checked payloads: messages with a ``payload_ref`` field are replaced by
+    the file it names. ``sample`` loads the first
     messages only, without archive and progress.
 
     Every write replaces what an earlier attempt at the same batch left, and progress is stored
@@ -149,14 +156,17 @@ def load_batch(
     plan.create(spark)
     if sample is not None:
         messages = sample_messages(messages, sample)
+    if payload_root is not None:
+        messages = open_envelopes(messages)
     messages = envelopes = messages.persist(StorageLevel.MEMORY_AND_DISK)
-    if payloads is not None:
-        resolving = resolve_claim_checks(envelopes, payloads, plan.limits)
-        messages = resolving.persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        if payload_root is not None:
+            payloads = read_payloads(spark, payload_root, envelopes)
+            resolving = resolve_claim_checks(envelopes, payloads, plan.limits)
+            messages = resolving.persist(StorageLevel.MEMORY_AND_DISK)
         plan.batch_metrics.write(batch_volume(messages), batch_id)
         readable_messages = messages
-        if payloads is not None:
+        if payload_root is not None:
             envelopes.unpersist()
             readable_messages = resolved(messages)
             missing = quarantine_rows(unresolved(messages))

@@ -97,6 +97,12 @@ class LoadPlan:
     def insert_only_tags(self) -> set[str]:
         return set(split_names(self.insert_only))
 
+    @property
+    def progress_keys(self) -> list[tuple[str, str]]:
+        """(layer, tag) of everything that keeps progress."""
+        raw = [(RAW_LAYER, tag.name) for tag in self.raw_tags]
+        return raw + [(GOLD_LAYER, tag.name) for tag in self.gold_tags]
+
     def database(self, layer: str) -> str:
         return f"{self.database_prefix}{layer}"
 

@@ -153,7 +153,7 @@ def _order_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     broken = F.concat(F.lit("broken "), F.col("o_orderkey").cast("string"))
     text = F.when(F.col("o_orderpriority") == "5-LOW", broken).otherwise(F.to_json(document))
     return as_messages(
-        table(spark, sf_dir, "orders"), F.col("o_custkey") % 4, F.col("o_orderkey"), text, F.lit("orders")
+        table(spark, sf_dir, "orders"), F.lit(0), F.col("o_orderkey"), text, F.lit("orders")
     )
 
 
@@ -253,7 +253,8 @@ def _page_plan(spark: SparkSession, root: str) -> LoadPlan:
 
 
 def _load_dropped(spark: SparkSession, root: str, plan: LoadPlan) -> None:
-    files = read_drop_stream(spark, f"{root}/incoming", suffix=".txt", max_files=2_000)
+    # Batches are bounded by volume, so that their number follows from the size of the pages.
+    files = read_drop_stream(spark, f"{root}/incoming", suffix=".txt", max_bytes="100g")
     query = start_load(
         files, plan, f"{root}/checkpoint", keep_progress=False, poll_interval=None
     )

@@ -40,6 +40,7 @@ from jsonstrata.operators.quality import (
 from jsonstrata.operators.sqlflow import Stage, StagedFlow, run_sql, run_staged
 from jsonstrata.queries.frames import (
     EVENT_ETL_COLUMNS,
+    EVENT_PARTITION,
     EVENT_SCHEMA,
     Query,
     event_files,
@@ -371,10 +372,10 @@ _EVENT_VALUES = """
            CASE WHEN event_type IN ('error', 'click') THEN NULL ELSE value END AS value
     FROM events
 """
-_WATERMARKS = """
-    SELECT CAST(user_id % 4 AS INTEGER) AS partition,
+_WATERMARKS = f"""
+    SELECT {EVENT_PARTITION} AS partition,
            (min(event_id) + max(event_id)) // 2 AS raw_offset, max(event_id) AS gold_offset
-    FROM events WHERE user_id % 4 < 3 GROUP BY 1
+    FROM events WHERE event_type <> 'view' GROUP BY 1
 """
 _PATHS = """
     SELECT '/drop/incoming/' || event_type || '_' || event_id
@@ -417,14 +418,14 @@ CATALOGUE = {
     ),
     "watermark_filter": Query(
         watermark_filter,
-        f"WITH w AS ({_WATERMARKS}) SELECT CAST(e.user_id % 4 AS INTEGER) AS partition,"
-        ' e.event_id AS "offset" FROM events e LEFT JOIN w ON w.partition = e.user_id % 4'
+        f"WITH w AS ({_WATERMARKS}), e AS (SELECT {EVENT_PARTITION} AS partition, event_id FROM events)"
+        ' SELECT e.partition, e.event_id AS "offset" FROM e LEFT JOIN w ON w.partition = e.partition'
         " WHERE w.raw_offset IS NULL OR e.event_id > w.raw_offset",
     ),
     "watermark_advance": Query(
         watermark_advance,
-        "SELECT 'RAW_CURPIT' AS layer, 'events' AS tag, CAST(user_id % 4 AS INTEGER) AS partition,"
-        ' max(event_id) AS "offset" FROM events GROUP BY user_id % 4',
+        f"SELECT 'RAW_CURPIT' AS layer, 'events' AS tag, {EVENT_PARTITION} AS partition,"
+        ' max(event_id) AS "offset" FROM events GROUP BY 3',
     ),
     "watermark_layer_scan": Query(
         watermark_layer_scan,

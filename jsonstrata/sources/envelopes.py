@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from jsonstrata.operators.skew import DEFAULT_LIMITS, JoinLimits, salted_join
 
 REFERENCE_FIELD = "payload_ref"
+# Bound of the file names that are brought to the driver to prune the payload scan.
+MAX_NAMES = 20_000
 
 
 def path_key(path: Column) -> Column:
@@ -24,9 +26,29 @@ def open_envelopes(messages: DataFrame, reference_field: str = REFERENCE_FIELD)
     )
 
 
-def read_payloads(spark: SparkSession, root: str) -> DataFrame:
-    """``(payload_ref, payload)``: path and whole text of every file under ``root``."""
+def read_payloads(
+    spark: SparkSession,
+    root: str,
+    envelopes: DataFrame | None = None,
+    max_names: int = MAX_NAMES,
+) -> DataFrame:
+    """``(payload_ref, payload)``: path and whole text of the files under ``root``.
+
+    With ``envelopes``, files that none of them refers to are left out of the scan as long as the
+    references name at most ``max_names`` files; beyond that, and for names that Spark's file
+    metadata would show encoded, all files are read and the join with the envelopes decides.
+    """
     files = spark.read.format("binaryFile").load(root)
+    if envelopes is not None:
+        name = F.substring_index("payload_ref", "/", -1)
+        wanted = envelopes.where(F.col("payload_ref").isNotNull()).select(name.alias("name"))
+        names = wanted.distinct()
+        plain = F.count_if(F.col("name").rlike("^[A-Za-z0-9._-]+$")).alias("plain")
+        found = names.agg(F.count(F.lit(1)).alias("names"), plain).first()
+        if found["names"] == found["plain"] <= max_names:
+            listed = [row["name"] for row in names.collect()]
+            # A test on file metadata prunes the file list before anything is opened.
+            files = files.where(F.col("_metadata.file_name").isin(listed))
     return files.select(
         path_key(F.col("path")).alias("payload_ref"),
         F.col("content").cast("string").alias("payload"),

@@ -7,6 +7,7 @@ from jsonstrata.plans import layers
 from jsonstrata.plans.layers import load_batch
 from jsonstrata.plans.spec import GoldTag, LoadPlan, RawTag
 from jsonstrata.session import shared_folder
+from jsonstrata.streaming.runner import resume_offsets
 
 
 def make_plan(spark, prefix, **changes):
@@ -83,7 +84,11 @@ def test_one_batch_fills_every_layer(spark, prefix):
 
 def test_replayed_batch_changes_nothing(spark, prefix):
     plan = make_plan(spark, prefix)
+    assert resume_offsets(spark, plan, "t", 4) is None
     load_batch(messages(spark), "b-0", plan, keep_progress=True)
+    assert resume_offsets(spark, plan, "t", 5) == (
+        '{"t": {"0": 4, "1": 2, "2": 2, "3": 3000000001, "4": -2}}'
+    )
     more = messages(spark, [(0, 4, BODY, "t"), (1, 2, '{"_extract_id":"B9"}', "t"), (0, 2, BODY, "t")])
     load_batch(more, "b-1", plan, keep_progress=True)
     before = snapshot(spark, plan)

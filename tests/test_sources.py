@@ -123,6 +123,26 @@ def test_claim_checks(spark, tmp_path):
     ]
 
 
+def test_payload_scan_reads_only_files_that_are_referred_to(spark, tmp_path):
+    folder = tmp_path / "payloads"
+    (folder / "day=1").mkdir(parents=True)
+    for name in ("a.json", "b.json", "c d.json"):
+        (folder / "day=1" / name).write_text(name)
+
+    def scanned(refs, **options):
+        raw = [(0, i, f'{{"payload_ref":"{folder}/day=1/{ref}"}}', "t") for i, ref in enumerate(refs)]
+        envelopes = open_envelopes(messages(spark, raw))
+        payloads = read_payloads(spark, str(folder), envelopes, **options)
+        found = resolved(resolve_claim_checks(envelopes, payloads))
+        return rows(payloads.select("payload")), sorted(r["json"] for r in found.collect())
+
+    everything = [("a.json",), ("b.json",), ("c d.json",)]
+    assert scanned(["a.json", "a.json", "none.json"]) == ([("a.json",)], ["a.json", "a.json"])
+    assert scanned(["a.json", "b.json"], max_names=1) == (everything, ["a.json", "b.json"])
+    assert scanned(["c d.json"]) == (everything, ["c d.json"])
+    assert scanned([]) == ([], [])
+
+
 def test_archive(spark):
     folder = shared_folder(spark)
     for _ in range(2):

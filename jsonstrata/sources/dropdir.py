@@ -49,7 +49,7 @@ def read_drop_stream(
     *,
     suffix: str = SUFFIX,
     max_files: int = MAX_FILES,
-    max_bytes: str | None = None,
+    max_bytes: int | None = None,
     max_file_bytes: int = MAX_FILE_BYTES,
     archive_dir: str | None = None,
 ) -> DataFrame:
@@ -57,14 +57,14 @@ def read_drop_stream(
 
     The checkpoint remembers which files were read, so there are no markers and no claims. Files
     must be complete when they appear: write them elsewhere and rename them in. ``max_bytes``
-    (such as ``"100g"``) bounds a batch by volume instead of by number. With ``archive_dir``,
+    bounds a batch by volume instead of by number. With ``archive_dir``,
     files of finished batches are moved there.
     """
     options = {"wholetext": "true", "pathGlobFilter": f"*{suffix}"}
     if max_bytes is None:
         options["maxFilesPerTrigger"] = str(max_files)
     else:
-        options["maxBytesPerTrigger"] = max_bytes
+        options["maxBytesPerTrigger"] = str(max_bytes)
     if archive_dir is not None:
         options |= {"cleanSource": "archive", "sourceArchiveDir": archive_dir}
     files = spark.readStream.format("text").options(**options).load(directory)

@@ -20,7 +20,7 @@ def connect(sf_dir):
 def compare(df, con, sql):
     """None when equal, else a short description of the difference."""
     got = df.toArrow()
-    want = con.execute(sql).to_arrow_table()
+    want = con.sql(sql).to_arrow_table()
     if sorted(got.column_names) != sorted(want.column_names):
         return f"columns {got.column_names} / {want.column_names}"
     names = sorted(got.column_names)

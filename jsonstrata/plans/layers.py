@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
@@ -19,7 +20,15 @@ from jsonstrata.operators.parse import parse_messages, readable, unreadable
 from jsonstrata.operators.progress import after_watermark
 from jsonstrata.operators.quality import split_null_records, standardise
 from jsonstrata.operators.sqlflow import transformed
-from jsonstrata.plans.spec import GOLD_LAYER, INTAKE, RAW_LAYER, GoldTag, LoadPlan, RawTag
+from jsonstrata.plans.spec import (
+    GOLD_LAYER,
+    INTAKE,
+    METRICS_SCHEMA,
+    RAW_LAYER,
+    GoldTag,
+    LoadPlan,
+    RawTag,
+)
 from jsonstrata.sinks.signals import archive_payloads, completion_event, quarantine_rows
 from jsonstrata.sinks.tables import owner_of
 from jsonstrata.sources.envelopes import (
@@ -164,13 +173,20 @@ def load_batch(
             payloads = read_payloads(spark, payload_root, envelopes)
             resolving = resolve_claim_checks(envelopes, payloads, plan.limits)
             messages = resolving.persist(StorageLevel.MEMORY_AND_DISK)
-        plan.batch_metrics.write(batch_volume(messages), batch_id)
+        volume = batch_volume(messages).first()
+        plan.batch_metrics.write(spark.createDataFrame([volume], METRICS_SCHEMA), batch_id)
         readable_messages = messages
         if payload_root is not None:
             envelopes.unpersist()
             readable_messages = resolved(messages)
             missing = quarantine_rows(unresolved(messages))
             plan.quarantine.write(missing, batch_id, {"layer": INTAKE, "tag": "all"})
+        # Small files make small scan partitions; joined up, they do not become small table files.
+        tasks = max(
+            spark.sparkContext.defaultParallelism,
+            math.ceil(volume["payload_chars"] / plan.chars_per_task),
+        )
+        readable_messages = readable_messages.coalesce(tasks)
         track = keep_progress and sample is None
         if track:
             archive_payloads(readable_messages, plan.archive_directory, batch_id)

@@ -62,7 +62,8 @@ class GoldTag:
 class LoadPlan:
     """Tags and settings of one load. ``root`` is a folder that all executors share.
 
-    ``parallel_tags`` tags are loaded at once, each with up to ``parallel_writes`` writes.
+    ``parallel_tags`` tags are loaded at once, each with up to ``parallel_writes`` writes. A batch
+    whose scan has more partitions than cores is joined up to about ``chars_per_task`` of payload.
     """
 
     root: str
@@ -81,6 +82,7 @@ class LoadPlan:
     database_prefix: str = ""
     parallel_tags: int = 4
     parallel_writes: int = 3
+    chars_per_task: int = 128 * 2**20
     limits: JoinLimits = field(default=DEFAULT_LIMITS)
 
     def __post_init__(self) -> None:

@@ -253,8 +253,7 @@ def _page_plan(spark: SparkSession, root: str) -> LoadPlan:
 
 
 def _load_dropped(spark: SparkSession, root: str, plan: LoadPlan) -> None:
-    # Batches are bounded by volume, so that their number follows from the size of the pages.
-    files = read_drop_stream(spark, f"{root}/incoming", suffix=".txt", max_bytes=100 * 2**30)
+    files = read_drop_stream(spark, f"{root}/incoming", suffix=".txt", max_files=100_000)
     query = start_load(
         files, plan, f"{root}/checkpoint", keep_progress=False, poll_interval=None
     )

@@ -209,6 +209,39 @@ def label_words(words: Words, model: Model, switch: float) -> np.ndarray:
     return label
 
 
+def _judge(texts: list[str], model: Model, switch: float) -> tuple[Words, np.ndarray, np.ndarray, np.ndarray]:
+    """The words, the language number of each, and of each text the language number and its share of the letters."""
+    words = Words(texts)
+    label = label_words(words, model, switch)
+    share = np.zeros((len(texts), len(model.langs) + 1))
+    if model.langs:
+        np.add.at(share, (words.text, label), words.letters)
+    total = share.sum(axis=1)
+    best = np.where(total > 0, share.argmax(axis=1), len(model.langs))
+    score = np.divide(share[np.arange(len(texts)), best], total, out=np.zeros(len(texts)), where=total > 0)
+    return words, label, best, score
+
+
+def reject(
+    docs: DataFrame, model: Model, min_score: float = 0.5, switch: float = 12.0, text_column: str = "text"
+) -> DataFrame:
+    """The rows, with all their columns, whose text has a language with ``min_score`` of its letters.
+
+    Null texts and texts without letters go. The rest is as in :func:`identify`.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    number = docs.columns.index(text_column)
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, j, texts in _ranges(batch.column(number)):
+                _, _, best, score = _judge(texts, shared.value, switch)
+                stays = (best < len(shared.value.langs)) & (score >= min_score)
+                yield batch.slice(i, j - i).filter(pa.array(stays))
+
+    return docs.mapInArrow(choose, docs.schema)
+
+
 def identify(
     docs: DataFrame, model: Model, switch: float = 12.0, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
@@ -230,15 +263,7 @@ def identify(
         span = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("lang", pa.string())])
         for batch in batches:
             for i, j, texts in _ranges(batch.column("text")):
-                words = Words(texts)
-                label = label_words(words, model, switch)
-                share = np.zeros((j - i, len(model.langs) + 1))
-                if model.langs:
-                    np.add.at(share, (words.text, label), words.letters)
-                total = share.sum(axis=1)
-                share[:, -1] = 0
-                best = np.where(total > 0, share.argmax(axis=1), len(model.langs))
-                score = np.divide(share[np.arange(j - i), best], total, out=np.zeros(j - i), where=total > 0)
+                words, label, best, score = _judge(texts, model, switch)
                 change = np.ones(len(label), bool)
                 change[1:] = (label[1:] != label[:-1]) | (words.text[1:] != words.text[:-1])
                 head = np.flatnonzero(change) if model.langs else np.zeros(0, np.int64)

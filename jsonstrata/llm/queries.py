@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jsonstrata.llm import decontamination, kdtree, langid, lines, mixing, secrets, sharding
+import corpus_pipeline
+from jsonstrata.llm import decontamination, kdtree, langid, lines, mixing, neardup, secrets, sentences, sharding, suffixes
 from jsonstrata.llm.frames import table
 from jsonstrata.queries.frames import Query
 
@@ -53,6 +54,28 @@ SELECT page_id, host, len(lines)::BIGINT AS n_lines, (len(lines) - len(stays))::
 FROM kept"""
 
 
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sentences.drop_repeated_sentences(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.col("kept").cast("string").alias("kept"),
+    )
+
+
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffixes.drop_repeated_strings(table(spark, sf_dir, "documents"), length=50)
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings")
     return kdtree.nearest(rows, rows.where("vec_id % 50 = 0"), k=5)
@@ -139,12 +162,43 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
+
+
+OP10_SQL = r"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+         ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s
+  FROM split),
+one AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, a.n AS n, b.n AS m, count(*) AS k
+  FROM one a JOIN one b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM shared WHERE 100 * k >= 85 * (n + m - k)),
+reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION
+  SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+lowest AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+FROM sets JOIN lowest ON doc_id = a"""
+
+
 CATALOGUE: dict[str, Query] = {
     "op1_language_spans": Query(op1, None),
     "op2_site_line_dedup": Query(op2, OP2_SQL),
+    "op3_sentence_spans": Query(op3, None),
+    "op4_bucket_refinement": Query(op4, None),
     "op5_kdtree_top_k": Query(op5, OP5_SQL),
     "op6_string_tiling": Query(op6, None),
     "op7_best_fit_shards": Query(op7, None),
     "op8_blob_ledger": Query(op8, _op8_sql()),
     "op9_flow_mix": Query(op9, None),
+    "op10_similarity_sketch": Query(op10, OP10_SQL),
+    "pipeline": Query(corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }

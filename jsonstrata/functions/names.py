@@ -20,6 +20,15 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def free_name(base: str, *columns: Iterable[str]) -> str:
+    """A column name that none of the given ones equals, whatever their case."""
+    taken = {c.lower() for some in columns for c in some}
+    name = base
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def split_names(names: str | Iterable[str] | None) -> list[str]:
     """Names from ``"a, 'b'"`` or an iterable; blanks and quotes around an item are dropped."""
     if names is None:

@@ -21,6 +21,8 @@ EVENT_TIME_COLUMN = "EVNT_TS"
 EVENT_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSX"
 EVENT_TIME_FORMAT_COLON_ZONE = "yyyy-MM-dd HH:mm:ss.SSSXXX"
 CLAIM_SUFFIX = r"\.[a-f0-9]{8}$"
+# Fixed value: what a file message's id starts with.
+MESSAGE_PREFIX = "hdfs-"
 
 
 def event_time(text: Column) -> Column:
@@ -61,4 +63,4 @@ def message_base_name(path: Column) -> Column:
 def message_id(path: Column, modified: Column) -> Column:
     """``hdfs-<base name>-<millis>``; the file's own time, so that a replay gives the same id."""
     millis = F.unix_millis(modified).cast("string")
-    return F.concat(F.lit("hdfs-"), message_base_name(path), F.lit("-"), millis)
+    return F.concat(F.lit(MESSAGE_PREFIX), message_base_name(path), F.lit("-"), millis)

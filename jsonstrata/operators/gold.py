@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jsonstrata.functions.names import quoted
+from jsonstrata.functions.names import free_name, quoted
 from jsonstrata.functions.scalars import EVENT_TIME_COLUMN, parse_event_time
 from jsonstrata.operators.quality import distinct_rows, has_map, project
 from jsonstrata.operators.skew import (
@@ -20,7 +20,9 @@ from jsonstrata.operators.skew import (
 def rows_not_in_target(
     incoming: DataFrame, target: DataFrame, id_column: str, limits: JoinLimits = DEFAULT_LIMITS
 ) -> DataFrame:
-    """Incoming rows whose id is absent from the target; rows with a null id stay.
+    """Distinct incoming rows whose id is absent from the target; rows with a null id stay.
+
+    Copies go first, so the result is the same whichever way the sizes choose below.
 
     Only the id column of the target is read. While the batch's ids are few enough to broadcast,
     the target is scanned without a shuffle and only ids found in both come back. Beyond that the
@@ -28,26 +30,28 @@ def rows_not_in_target(
     one id, or the lack of one, has too many rows for a task.
     """
     key = quoted(id_column)
-    ids = incoming.select(F.col(key).alias("_id"))
-    target_ids = target.select(F.col(key).alias("_id")).where("_id is not null")
-    profile = key_profile(ids, "_id")
+    name = free_name("_id", incoming.columns)
+    given, known_id = F.col(key), F.col(name)
+    ids = incoming.select(given.alias(name))
+    target_ids = target.select(given.alias(name)).where(known_id.isNotNull())
+    profile = key_profile(ids, name)
+    distinct = distinct_rows(incoming)
     if profile.fits(limits):
-        wanted = ids.where("_id is not null").distinct()
+        wanted = ids.where(known_id.isNotNull()).distinct()
         # A subset of the incoming ids, so the same bound holds for it.
-        known = target_ids.join(F.broadcast(wanted), "_id", "left_semi").distinct()
-        return incoming.join(F.broadcast(known), F.col(key) == F.col("_id"), "left_anti")
+        known = target_ids.join(F.broadcast(wanted), name, "left_semi").distinct()
+        return distinct.join(F.broadcast(known), given == known_id, "left_anti")
     known = target_ids.distinct()
     if profile.largest <= limits.rows_per_split:
-        return incoming.join(known, F.col(key) == F.col("_id"), "left_anti")
-    # Distinct rows first: copies of one row would otherwise share a split.
-    rows = distinct_rows(incoming).withColumn("_id", F.col(key))
+        return distinct.join(known, given == known_id, "left_anti")
+    rows = distinct.withColumn(name, given)
     spread = [
         F.to_json(quoted(f.name)) if has_map(f.dataType) else F.col(quoted(f.name))
         for f in incoming.schema.fields
     ]
     # Counted with the copies, which needs the id column alone and can only add splits.
-    hot = hot_keys(ids, "_id", limits)
-    kept = salted_join(rows, known, "_id", "left_anti", spread, limits, hot)
+    hot = hot_keys(ids, name, limits)
+    kept = salted_join(rows, known, name, "left_anti", spread, limits, hot)
     return project(kept, incoming.columns)
 
 
@@ -59,8 +63,8 @@ def insert_only(
     limits: JoinLimits = DEFAULT_LIMITS,
 ) -> DataFrame:
     """Distinct rows to add to an insert-only table."""
-    fresh = rows_not_in_target(incoming, target, id_column, limits)
-    return distinct_rows(parse_event_time(project(fresh, incoming.columns), time_column))
+    timed = parse_event_time(incoming, time_column)
+    return project(rows_not_in_target(timed, target, id_column, limits), timed.columns)
 
 
 def history(incoming: DataFrame, time_column: str = EVENT_TIME_COLUMN) -> DataFrame:

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import math
+import time
 from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
+from dataclasses import dataclass
 
 from pyspark import StorageLevel, inheritable_thread_target
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,20 +20,23 @@ from jsonstrata.operators.audit import audit_rows
 from jsonstrata.operators.gold import history, insert_only
 from jsonstrata.operators.metrics import batch_volume
 from jsonstrata.operators.parse import parse_messages, readable, unreadable
+from jsonstrata.operators.poison import isolate
 from jsonstrata.operators.progress import after_watermark
 from jsonstrata.operators.quality import split_null_records, standardise
 from jsonstrata.operators.sqlflow import transformed
 from jsonstrata.plans.spec import (
     GOLD_LAYER,
     INTAKE,
+    LOAD_SCHEMA,
     METRICS_SCHEMA,
     RAW_LAYER,
     GoldTag,
     LoadPlan,
     RawTag,
 )
-from jsonstrata.sinks.signals import archive_payloads, completion_event, quarantine_rows
+from jsonstrata.sinks.signals import archive_messages, completion_event, quarantine_rows
 from jsonstrata.sinks.tables import owner_of
+from jsonstrata.sources.dropdir import accepted, rejected
 from jsonstrata.sources.envelopes import (
     open_envelopes,
     read_payloads,
@@ -38,7 +44,7 @@ from jsonstrata.sources.envelopes import (
     resolved,
     unresolved,
 )
-from jsonstrata.sources.messages import sample_messages
+from jsonstrata.sources.messages import sample_messages, spread_messages
 
 
 def _audit_keys(df: DataFrame, keys: Iterable[str]) -> DataFrame:
@@ -66,15 +72,50 @@ def _run_all(spark: SparkSession, jobs: list[Callable[[], object]], threads: int
         job.result()
 
 
+@dataclass
+class Counts:
+    """What became of the messages of one tag: records loaded, records without values, messages
+    that can't be read or on which the tag's SQL fails."""
+
+    loaded: int = 0
+    rejected: int = 0
+    unreadable: int = 0
+
+    @property
+    def any(self) -> bool:
+        return self.loaded + self.rejected + self.unreadable > 0
+
+
+def _sql(tag: RawTag | GoldTag):
+    return tag.flatten if isinstance(tag, RawTag) else tag.transform
+
+
+def _check(messages: DataFrame, tag: RawTag | GoldTag) -> None:
+    """Run the tag's SQL over the messages and throw the result away."""
+    parsed = strip_prefix(readable(parse_messages(messages, tag.schema)))
+    with transformed(_sql(tag), {tag.name: parsed}) as flat:
+        flat.write.format("noop").mode("overwrite").save()
+
+
 @contextmanager
 def _records(
-    messages: DataFrame, tag: RawTag | GoldTag, sql, plan: LoadPlan, owner: dict, batch_id: str
+    messages: DataFrame,
+    tag: RawTag | GoldTag,
+    plan: LoadPlan,
+    owner: dict,
+    batch_id: str,
+    faulty: DataFrame | None,
+    counts: Counts,
 ) -> Iterator[DataFrame]:
-    """The tag's flat records, kept for the writes that follow, after its unreadable messages have
-    gone to the quarantine. Documents are parsed once and flattened once."""
+    """The tag's flat records, kept for the writes that follow, after its unreadable messages and
+    the ``faulty`` ones have gone to the quarantine. Documents are parsed once and flattened once."""
+    sql = _sql(tag)
     parsed = parse_messages(messages, tag.schema).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        plan.quarantine.write(quarantine_rows(unreadable(parsed)), batch_id, owner)
+        bad = quarantine_rows(unreadable(parsed))
+        if faulty is not None:
+            bad = bad.unionByName(quarantine_rows(faulty))
+        counts.unreadable = plan.quarantine.write(bad, batch_id, owner)
         with transformed(sql, {tag.name: strip_prefix(readable(parsed))}) as flat:
             records = strip_prefix(flat).persist(StorageLevel.MEMORY_AND_DISK)
             try:
@@ -85,19 +126,23 @@ def _records(
         parsed.unpersist()
 
 
-def load_raw_tag(messages: DataFrame, tag: RawTag, plan: LoadPlan, batch_id: str) -> int:
-    """RAW, CURATED, audit, quarantine and completion event of one tag; returns the RAW rows.
+def load_raw_tag(
+    messages: DataFrame, tag: RawTag, plan: LoadPlan, batch_id: str, faulty: DataFrame | None = None
+) -> Counts:
+    """RAW, CURATED, audit, quarantine and completion event of one tag; returns what was counted.
 
     CURATED and the audit's loaded rows read the RAW rows just written, with the columns they need.
+    There is no event when no message reached the tag.
     """
     spark = messages.sparkSession
     owner = {"layer": RAW_LAYER, "tag": tag.name}
-    with _records(messages, tag, tag.flatten, plan, owner, batch_id) as records:
+    counts = Counts()
+    with _records(messages, tag, plan, owner, batch_id, faulty, counts) as records:
         valid, rejected = split_null_records(
             parse_event_time(records, plan.time_column), plan.raw_etl_columns, plan.null_rule
         )
         raw = plan.raw(tag.name)
-        rows = raw.write(valid, batch_id, mode=plan.raw_mode)
+        counts.loaded = raw.write(valid, batch_id, mode=plan.raw_mode)
         loaded = raw.read(spark, only_batch=owner_of(batch_id, plan.raw_mode))
         audit = _audit(loaded, rejected, tag.name, tag.audit_keys)
 
@@ -107,19 +152,28 @@ def load_raw_tag(messages: DataFrame, tag: RawTag, plan: LoadPlan, batch_id: str
                     standardise(curated), batch_id, mode=plan.curated_mode
                 )
 
-        jobs = [curate, lambda: plan.raw_audit.write(audit, batch_id, {"tag": tag.name})]
-        _run_all(spark, jobs, plan.parallel_writes)
-    event = completion_event(spark, RAW_LAYER, tag.name, batch_id, rows, plan.raw_signal_pattern)
-    plan.load_events.write(event, batch_id, owner)
-    return rows
+        def audited() -> None:
+            rows = plan.raw_audit.write(audit, batch_id, {"tag": tag.name})
+            counts.rejected = rows - counts.loaded
+
+        _run_all(spark, [curate, audited], plan.parallel_writes)
+    if counts.any:
+        event = completion_event(
+            spark, RAW_LAYER, tag.name, batch_id, counts.loaded, plan.raw_signal_pattern
+        )
+        plan.load_events.write(event, batch_id, owner)
+    return counts
 
 
-def load_gold_tag(messages: DataFrame, tag: GoldTag, plan: LoadPlan, batch_id: str) -> int:
+def load_gold_tag(
+    messages: DataFrame, tag: GoldTag, plan: LoadPlan, batch_id: str, faulty: DataFrame | None = None
+) -> Counts:
     """GOLD rows of one tag, insert-only or as history, with audit and quarantine."""
     spark = messages.sparkSession
     by_id = tag.name in plan.insert_only_tags
     owner = {"layer": GOLD_LAYER, "tag": tag.name}
-    with _records(messages, tag, tag.transform, plan, owner, batch_id) as records:
+    counts = Counts()
+    with _records(messages, tag, plan, owner, batch_id, faulty, counts) as records:
         valid, rejected = split_null_records(records, plan.gold_etl_columns, plan.null_rule)
         gold = plan.gold(tag.name)
         if by_id:
@@ -129,16 +183,16 @@ def load_gold_tag(messages: DataFrame, tag: GoldTag, plan: LoadPlan, batch_id: s
             new = insert_only(valid, target, tag.id_column, plan.time_column, plan.limits)
         else:
             new = history(valid, plan.time_column)
-        rows = gold.write(new, batch_id, mode=plan.gold_mode)
+        counts.loaded = gold.write(new, batch_id, mode=plan.gold_mode)
         loaded = gold.read(spark, only_batch=owner_of(batch_id, plan.gold_mode))
         audit = _audit(loaded, rejected, tag.name, tag.audit_keys)
-        plan.gold_audit.write(audit, batch_id, {"tag": tag.name})
-    if not by_id:
+        counts.rejected = plan.gold_audit.write(audit, batch_id, {"tag": tag.name}) - counts.loaded
+    if not by_id and counts.any:
         event = completion_event(
-            spark, GOLD_LAYER, tag.name, batch_id, rows, plan.gold_signal_pattern
+            spark, GOLD_LAYER, tag.name, batch_id, counts.loaded, plan.gold_signal_pattern
         )
         plan.load_events.write(event, batch_id, owner)
-    return rows
+    return counts
 
 
 def load_batch(
@@ -166,9 +220,13 @@ def load_batch(
     if sample is not None:
         messages = sample_messages(messages, sample)
     if payload_root is not None:
-        messages = open_envelopes(messages)
-    messages = envelopes = messages.persist(StorageLevel.MEMORY_AND_DISK)
+        messages = open_envelopes(messages, root=payload_root)
+    taken = messages = envelopes = messages.persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        refused = rejected(messages)
+        if refused is not None:
+            plan.quarantine.write(quarantine_rows(refused), batch_id, {"layer": INTAKE, "tag": "files"})
+            messages = envelopes = accepted(messages)
         if payload_root is not None:
             payloads = read_payloads(spark, payload_root, envelopes)
             resolving = resolve_claim_checks(envelopes, payloads, plan.limits)
@@ -177,7 +235,7 @@ def load_batch(
         plan.batch_metrics.write(spark.createDataFrame([volume], METRICS_SCHEMA), batch_id)
         readable_messages = messages
         if payload_root is not None:
-            envelopes.unpersist()
+            taken.unpersist()
             readable_messages = resolved(messages)
             missing = quarantine_rows(unresolved(messages))
             plan.quarantine.write(missing, batch_id, {"layer": INTAKE, "tag": "all"})
@@ -186,10 +244,12 @@ def load_batch(
             spark.sparkContext.defaultParallelism,
             math.ceil(volume["payload_chars"] / plan.chars_per_task),
         )
-        readable_messages = readable_messages.coalesce(tasks)
+        readable_messages = spread_messages(readable_messages.coalesce(tasks), volume["payload_chars"], plan.chars_per_task)
         track = keep_progress and sample is None
         if track:
-            archive_payloads(readable_messages, plan.archive_directory, batch_id)
+            archive_messages(readable_messages, plan.archive_directory, batch_id)
+
+        metrics: list[tuple] = []
 
         def job(load, layer: str, tag) -> Callable[[], None]:
             def run() -> None:
@@ -198,7 +258,16 @@ def load_batch(
                     stored = plan.watermarks.stored(spark, layer, tag.name, batch_id)
                     if stored.seq:
                         todo = after_watermark(todo, stored.latest, plan.limits)
-                load(todo, tag, plan, batch_id)
+                started = time.monotonic()
+                try:
+                    counts = load(todo, tag, plan, batch_id)
+                except PySparkException:
+                    if tag.on_error == "fail":
+                        raise
+                    good, faulty = isolate(todo, lambda part: _check(part, tag))
+                    counts = load(good, tag, plan, batch_id, faulty)
+                elapsed = round(1000 * (time.monotonic() - started))
+                metrics.append((layer, tag.name, counts.loaded, counts.rejected, counts.unreadable, elapsed))
                 if track:
                     plan.watermarks.save(todo, stored)
 
@@ -208,6 +277,7 @@ def load_batch(
         jobs = [job(load_raw_tag, RAW_LAYER, tag) for tag in plan.raw_tags]
         jobs += [job(load_gold_tag, GOLD_LAYER, tag) for tag in plan.gold_tags]
         _run_all(spark, jobs, plan.parallel_tags)
+        plan.load_metrics.write(spark.createDataFrame(sorted(metrics), LOAD_SCHEMA), batch_id)
     finally:
         messages.unpersist()
-        envelopes.unpersist()
+        taken.unpersist()

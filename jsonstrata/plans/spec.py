@@ -29,6 +29,11 @@ EVENT_SCHEMA = (
     "batch string, rows bigint, completed_at timestamp, signal_name string, signal_text string"
 )
 METRICS_SCHEMA = "messages bigint, resolved bigint, payload_chars bigint"
+LOAD_SCHEMA = (
+    "layer string, tag string, loaded bigint, rejected bigint, unreadable bigint, elapsed_ms bigint"
+)
+# What to do with messages on which a tag's SQL fails.
+ON_ERROR = ("fail", "quarantine")
 
 
 @dataclass(frozen=True)
@@ -36,7 +41,8 @@ class RawTag:
     """A table of the RAW and CURATED layers.
 
     ``flatten`` reads the parsed documents as ``{<name>}``; ``curate`` reads the loaded RAW rows
-    as ``{curate_<name>}``. Without SQL the frame passes through.
+    as ``{curate_<name>}``. Without SQL the frame passes through. With ``on_error="quarantine"`` the
+    messages on which ``flatten`` fails are looked for and put aside, and the others are loaded.
     """
 
     name: str
@@ -44,18 +50,20 @@ class RawTag:
     flatten: str | StagedFlow | None = None
     curate: str | StagedFlow | None = None
     audit_keys: tuple[str, ...] = ()
+    on_error: str = "fail"
 
 
 @dataclass(frozen=True)
 class GoldTag:
     """A table of the GOLD layer. ``transform`` reads the parsed documents as ``{<name>}``.
-    ``id_column`` is needed for a tag that is loaded insert-only."""
+    ``id_column`` is needed for a tag that is loaded insert-only. ``on_error`` as for a RAW tag."""
 
     name: str
     schema: StructType | ArrayType
     transform: str | StagedFlow | None = None
     id_column: str | None = None
     audit_keys: tuple[str, ...] = ()
+    on_error: str = "fail"
 
 
 @dataclass(frozen=True)
@@ -89,6 +97,9 @@ class LoadPlan:
         unknown = self.insert_only_tags - {t.name for t in self.gold_tags}
         if unknown:
             raise ValueError(f"insert-only tags without a definition: {sorted(unknown)}")
+        for tag in (*self.raw_tags, *self.gold_tags):
+            if tag.on_error not in ON_ERROR:
+                raise ValueError(f"on_error of tag {tag.name!r} must be one of {ON_ERROR}")
         for tag in self.gold_tags:
             if tag.name in self.insert_only_tags and tag.id_column is None:
                 raise ValueError(f"insert-only tag {tag.name!r} needs an id column")
@@ -140,6 +151,10 @@ class LoadPlan:
     def batch_metrics(self) -> BatchTable:
         return self.table("work", "batch_metrics")
 
+    @property
+    def load_metrics(self) -> BatchTable:
+        return self.table("work", "load_metrics")
+
     @property
     def watermarks(self) -> WatermarkTable:
         return WatermarkTable.at(f"{self.database('work')}.watermarks", f"{self.root}/work/watermarks")
@@ -149,7 +164,12 @@ class LoadPlan:
         return f"{self.root}/archive"
 
     def create(self, spark: SparkSession) -> None:
-        """Databases, and the tables that tags share: made before tags are loaded side by side."""
+        """Databases, and the tables that tags share: made before tags are loaded side by side.
+
+        The table that is made last tells whether all are known, so a batch asks for one.
+        """
+        if spark.catalog.tableExists(self.load_metrics.name):
+            return
         for layer in ("raw", "curated", "gold", "gold_history", "work"):
             spark.sql(
                 f"CREATE DATABASE IF NOT EXISTS {self.database(layer)} "
@@ -164,3 +184,4 @@ class LoadPlan:
         ]:
             shared.create(spark, spark.createDataFrame([], ddl).schema)
         self.watermarks.create(spark)
+        self.load_metrics.create(spark, spark.createDataFrame([], LOAD_SCHEMA).schema)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -17,7 +18,8 @@ def shared_folder(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None
     )
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        # local-cluster[...] has executors of their own, so it needs a shared folder too.
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="jsonstrata-")
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from jsonstrata.operators.progress import advance
 from jsonstrata.sinks.tables import BATCH_COLUMN, BatchTable
 
-SCHEMA = "partition int, offset bigint, seq bigint, batch string"
+SCHEMA = "partition int, offset bigint, seq bigint, batch string, source string"
 
 
 def _slot(seq: int) -> str:
@@ -31,7 +31,7 @@ class Progress:
 
 @dataclass(frozen=True)
 class WatermarkTable:
-    """Latest offset per (layer, tag, partition).
+    """Latest offset per (layer, tag, topic, partition).
 
     Every write is a full snapshot of one (layer, tag), so the table does not grow with the number
     of batches. Two slots take turns: a batch writes the slot that does not hold the newest
@@ -49,12 +49,13 @@ class WatermarkTable:
         self.table.create(spark, spark.createDataFrame([], SCHEMA).schema)
 
     def read(self, spark: SparkSession, without_batch: str | None = None) -> DataFrame:
-        """``(layer, tag, partition, offset)`` of the newest snapshot of every layer and tag."""
+        """``(layer, tag, partition, offset, source)`` of the newest snapshot of every layer and tag."""
         rows = self.table.read(spark, with_partitions=True)
         if without_batch is not None:
             rows = rows.where(F.col("batch") != without_batch)
         # Snapshots only move forward, so the larger offset is the newer one.
-        return rows.groupBy("layer", "tag", "partition").agg(F.max("offset").alias("offset"))
+        newest = rows.groupBy("layer", "tag", "partition", "source").agg(F.max("offset").alias("offset"))
+        return newest.select("layer", "tag", "partition", "offset", "source")
 
     def stored(self, spark: SparkSession, layer: str, tag: str, batch_id: str) -> Progress:
         """Progress of one layer and tag as the batches before ``batch_id`` left it."""
@@ -63,20 +64,22 @@ class WatermarkTable:
         )
         seq = rows.agg(F.max("seq").alias("seq")).first()["seq"] or 0
         slot = rows.where((F.col(BATCH_COLUMN) == _slot(seq)) & (F.col("seq") == seq))
-        return Progress(layer, tag, batch_id, seq, slot.select("partition", "offset"))
+        return Progress(layer, tag, batch_id, seq, slot.select("source", "partition", "offset"))
 
     def save(self, messages: DataFrame, stored: Progress) -> None:
         """Store progress after ``messages``: the larger of old and new offset per partition."""
-        new = advance(messages, stored.layer, stored.tag).select("partition", "offset")
+        new = advance(messages, stored.layer, stored.tag, by_topic=True)
+        new = new.select("source", "partition", "offset")
         snapshot = (
             stored.latest.unionByName(new)
-            .groupBy("partition")
+            .groupBy("source", "partition")
             .agg(F.max("offset").alias("offset"))
             .select(
                 "partition",
                 "offset",
                 F.lit(stored.seq + 1).cast("bigint").alias("seq"),
                 F.lit(stored.batch_id).alias("batch"),
+                "source",
             )
         )
         owner = {"layer": stored.layer, "tag": stored.tag}

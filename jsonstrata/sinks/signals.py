@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from jsonstrata.sinks.tables import BATCH_COLUMN
 
 
+# Fixed value: the text of a completion signal, after the table's name.
+SIGNAL_TEXT = "Table is Loaded"
+
+
 def completion_event(
     spark: SparkSession, layer: str, tag: str, batch_id: str, rows: int, pattern: str = ""
 ) -> DataFrame:
@@ -19,7 +23,7 @@ def completion_event(
         F.lit(rows).cast("bigint").alias("rows"),
         now.alias("completed_at"),
         F.concat(F.lit(f"{pattern}{tag}.d"), stamp, F.lit(".trg")).alias("signal_name"),
-        F.lit(f"{tag}Table is Loaded").alias("signal_text"),
+        F.lit(f"{tag}{SIGNAL_TEXT}").alias("signal_text"),
     )
 
 
@@ -30,6 +34,22 @@ def quarantine_rows(bad: DataFrame) -> DataFrame:
     )
 
 
+def archive_messages(messages: DataFrame, directory: str, batch_id: str) -> str:
+    """Keep the batch's messages as JSON lines of ``(source, partition, offset, json)``, so that a
+    payload with line breaks is read back whole, and return their directory. A replay writes the
+    same directory."""
+    target = f"{directory}/{BATCH_COLUMN}={batch_id}"
+    rows = messages.where(F.col("json").isNotNull()).select("source", "partition", "offset", "json")
+    rows.write.mode("overwrite").json(target)
+    return target
+
+
+def read_archive(spark: SparkSession, directory: str) -> DataFrame:
+    """The archived messages."""
+    schema = "source string, partition int, offset bigint, json string"
+    return spark.read.schema(schema).json(directory)
+
+
 def archive_payloads(messages: DataFrame, directory: str, batch_id: str) -> str:
     """Keep the batch's raw JSON as text under its own directory and return that directory.
 

@@ -99,7 +99,9 @@ class BatchTable:
     ) -> int:
         """Write the batch's rows and return their number, which the write itself counts.
 
-        ``append`` adds the batch to the table. ``overwrite`` makes it the table's whole content.
+        ``append`` adds the batch to the table. ``overwrite`` makes it the whole content of the
+        table, or of the part that ``values`` name: other batches there are dropped once the rows
+        are written, also those that were appended.
         """
         if mode not in ("append", "overwrite"):
             raise ValueError(f"mode must be 'append' or 'overwrite', not {mode!r}")
@@ -109,9 +111,26 @@ class BatchTable:
         rows, seen = observed_count(self._matched(df), f"write {self.name} {directory}")
         rows.write.mode("overwrite").parquet(directory)
         spark.sql(f"ALTER TABLE {self.name} ADD IF NOT EXISTS PARTITION ({spec})")
+        if mode == "overwrite":
+            self._drop_others(spark, values or {})
         spark.catalog.refreshTable(self.name)
         return seen.get["rows"]
 
+    def _drop_others(self, spark: SparkSession, values: Mapping[str, str]) -> None:
+        """Remove the partitions and files of all batches but the current one. The catalog names
+        them, so the driver sees as many as the table was given batches in the other mode."""
+        owned = [f"{k}={values[k]}" for k in self.keys]
+        for row in spark.sql(f"SHOW PARTITIONS {self.name}").toLocalIterator():
+            parts = row["partition"].split("/")
+            *found, batch = parts
+            if found != owned or batch == f"{BATCH_COLUMN}={CURRENT}":
+                continue
+            spec = ", ".join(f"{quoted(k)} = '{v}'" for k, _, v in (p.partition("=") for p in parts))
+            spark.sql(f"ALTER TABLE {self.name} DROP IF EXISTS PARTITION ({spec})")
+            # The table is external, so its files are removed apart.
+            path = spark._jvm.org.apache.hadoop.fs.Path("/".join([self.path, *parts]))
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
     def read(
         self,
         spark: SparkSession,

@@ -14,6 +14,8 @@ SUFFIX = ".json"
 MAX_FILES = 10
 STABLE_MILLIS = 5_000
 MAX_FILE_BYTES = 100 * 1024 * 1024
+# Fixed value: the columns of Spark's file source for whole files.
+FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
 def file_identity(path: Column, modified: Column) -> dict[str, Column]:
@@ -28,21 +30,55 @@ def file_identity(path: Column, modified: Column) -> dict[str, Column]:
     }
 
 
+# Column of a file message that can't be loaded: the reason, else null.
+REJECTED_COLUMN = "rejected"
+
+
 def _file_messages(files: DataFrame, max_file_bytes: int) -> DataFrame:
-    # The metadata holds the path URL-encoded, but with plus signs as they are.
-    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-    modified = F.col("_metadata.file_modification_time")
+    """Messages of files listed with ``(path, modificationTime, length, content)``."""
+    path, modified = F.col("path"), F.col("modificationTime")
     identity = [c.alias(name) for name, c in file_identity(path, modified).items()]
-    # A test on file metadata prunes the file list, so larger files are never opened.
-    return files.where(F.col("_metadata.file_size").between(1, max_file_bytes)).select(
+    # A test on the length is pushed into the scan, so larger files are never opened.
+    return files.where(F.col("length").between(1, max_file_bytes)).select(
         *identity,
-        F.col("value").alias("json"),
+        F.col("content").cast("string").alias("json"),
         path.alias("source"),
         modified.alias("modified"),
-        F.col("_metadata.file_size").alias("bytes"),
+        F.col("length").alias("bytes"),
     )
 
 
+def _rejected_messages(files: DataFrame, max_file_bytes: int) -> DataFrame:
+    """A row for each file that is empty or too large. Its content isn't asked for, so not opened."""
+    path, modified, size = F.col("path"), F.col("modificationTime"), F.col("length")
+    identity = [c.alias(name) for name, c in file_identity(path, modified).items()]
+    about = F.to_json(F.struct(path.alias("path"), size.alias("bytes"), modified.alias("modified")))
+    reason = F.when(size == 0, "file is empty").otherwise(f"file has more than {max_file_bytes} bytes")
+    return files.where(~size.between(1, max_file_bytes)).select(
+        *identity,
+        about.alias("json"),
+        path.alias("source"),
+        modified.alias("modified"),
+        size.alias("bytes"),
+        reason.alias(REJECTED_COLUMN),
+    )
+
+
+def accepted(messages: DataFrame) -> DataFrame:
+    """Messages that can be loaded."""
+    if REJECTED_COLUMN not in messages.columns:
+        return messages
+    return messages.where(F.col(REJECTED_COLUMN).isNull()).drop(REJECTED_COLUMN)
+
+
+def rejected(messages: DataFrame) -> DataFrame | None:
+    """Quarantine rows of files that can't be loaded: ``json`` holds path, size and time."""
+    if REJECTED_COLUMN not in messages.columns:
+        return None
+    rows = messages.where(F.col(REJECTED_COLUMN).isNotNull())
+    return rows.select("source", "partition", "offset", "json", F.col(REJECTED_COLUMN).alias("reason"))
+
+
 def read_drop_stream(
     spark: SparkSession,
     directory: str,
@@ -59,16 +95,20 @@ def read_drop_stream(
     must be complete when they appear: write them elsewhere and rename them in. ``max_bytes``
     bounds a batch by volume instead of by number. With ``archive_dir``,
     files of finished batches are moved there.
+
+    An empty or oversized file is a row as well, with the reason in ``rejected`` and without its
+    content; the load sends it to the quarantine, so no file is lost without a trace.
     """
-    options = {"wholetext": "true", "pathGlobFilter": f"*{suffix}"}
+    options = {"pathGlobFilter": f"*{suffix}"}
     if max_bytes is None:
         options["maxFilesPerTrigger"] = str(max_files)
     else:
         options["maxBytesPerTrigger"] = str(max_bytes)
     if archive_dir is not None:
         options |= {"cleanSource": "archive", "sourceArchiveDir": archive_dir}
-    files = spark.readStream.format("text").options(**options).load(directory)
-    return _file_messages(files, max_file_bytes)
+    files = spark.readStream.format("binaryFile").schema(FILE_SCHEMA).options(**options).load(directory)
+    good = _file_messages(files, max_file_bytes).withColumn(REJECTED_COLUMN, F.lit(None).cast("string"))
+    return good.unionByName(_rejected_messages(files, max_file_bytes))
 
 
 def list_files(spark: SparkSession, directory: str) -> DataFrame:
@@ -108,19 +148,32 @@ def read_drop_batch(
     directory: str,
     *,
     suffix: str = SUFFIX,
-    max_files: int = MAX_FILES,
+    max_files: int | None = None,
     stable_millis: int = STABLE_MILLIS,
     max_file_bytes: int = MAX_FILE_BYTES,
+    taken: DataFrame | None = None,
 ) -> DataFrame:
-    """Messages of the ``max_files`` oldest eligible files, for a run without a stream.
+    """Messages of the eligible files, for a run without a stream.
 
-    The driver sees the chosen paths only; executors read the files.
+    All of them, or with ``max_files`` the oldest so many. ``taken`` holds the ``file_key`` of files
+    of earlier runs, such as the messages these returned; they are left out, so runs of
+    ``max_files`` go on through the directory. The driver sees at most ``max_files`` chosen paths;
+    executors read the files.
     """
     limits = {"suffix": suffix, "stable_millis": stable_millis, "max_file_bytes": max_file_bytes}
-    chosen = oldest_first(eligible(list_files(spark, directory), **limits), max_files)
+    listing = eligible(list_files(spark, directory), **limits)
+    if taken is not None:
+        identity = file_identity(F.col("path"), F.col("modified"))
+        listing = listing.withColumn("file_key", identity["file_key"])
+        listing = listing.join(taken.select("file_key").distinct(), "file_key", "left_anti")
+    files = spark.read.format("binaryFile")
+    if max_files is None:
+        chosen = listing.select("path")
+        # Lengths prune the scan; a file that isn't chosen costs its own reading at most.
+        return _file_messages(files.load(directory).join(chosen, "path", "left_semi"), max_file_bytes)
     # A path is read as a pattern unless its special characters are escaped.
-    paths = [re.sub(r"([\\{}\[\]*?])", r"\\\1", row["path"]) for row in chosen.collect()]
-    files = spark.read.format("text").option("wholetext", True)
+    chosen = oldest_first(listing, max_files).collect()
+    paths = [re.sub(r"([\\{}\[\]*?])", r"\\\1", row["path"]) for row in chosen]
     if not paths:
         return _file_messages(files.load(directory).where(F.lit(False)), max_file_bytes)
     return _file_messages(files.load(paths), max_file_bytes)

@@ -53,6 +53,18 @@ def read_topic_stream(spark: SparkSession, topic: str, **options) -> DataFrame:
     return topic_messages(reader.load())
 
 
+def spread_messages(messages: DataFrame, chars: int, chars_per_task: int) -> DataFrame:
+    """The messages in as many partitions as their volume asks for, if they stand in fewer.
+
+    A topic with few large partitions would otherwise be parsed by as few tasks. Messages are dealt
+    by a hash, so a recomputed task gets the same ones.
+    """
+    wanted = -(-chars // chars_per_task)
+    if wanted <= 1 or wanted <= messages.rdd.getNumPartitions():
+        return messages
+    return messages.repartition(wanted, "partition", "offset")
+
+
 def sample_messages(messages: DataFrame, n: int = 10) -> DataFrame:
     """The first ``n`` messages by partition and offset, for a debug run."""
     return messages.orderBy("partition", "offset").limit(n)

@@ -1,7 +1,7 @@
 """Every operator run over the test tables, with the same result stated in SQL."""
 
-from jsonstrata.queries import loads, operators
+from jsonstrata.queries import intake, loads, operators
 
-CATALOGUE = {**operators.CATALOGUE, **loads.CATALOGUE}
+CATALOGUE = {**operators.CATALOGUE, **loads.CATALOGUE, **intake.CATALOGUE}
 
 __all__ = ["CATALOGUE"]

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -24,7 +29,29 @@ def keep(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+PACKAGE = Path(__file__).resolve().parent.parent
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, unless their import path has it already.
+
+    They share the driver's working folder and ``PYTHONPATH`` only on some clusters.
+    """
+    root = str(PACKAGE.parent)
+    sent = f"{PACKAGE.name}.zip"
+    if root in (os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)):
+        return
+    if any(f.endswith(sent) for f in spark.sparkContext.listFiles):
+        return
+    archive = Path(tempfile.mkdtemp()) / sent
+    with zipfile.ZipFile(archive, "w") as package:
+        for file in sorted(PACKAGE.rglob("*.py")):
+            package.write(file, file.relative_to(PACKAGE.parent))
+    spark.sparkContext.addPyFile(str(archive))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -179,6 +179,8 @@ def nearest(
 def _in_blocks(dealt: DataFrame, queries: DataFrame, search, schema: str) -> DataFrame:
     """Every shard with every block of queries that come to it."""
     by = ["shard", "block"]
-    blocks = queries.select(*by).distinct()
-    copies = dealt.join(blocks, "shard")
+    # Columns of their own, or the two sides of the grouping could not be told apart.
+    blocks = queries.select(F.col("shard").alias("at"), F.col("block").alias("of")).distinct()
+    copies = dealt.join(blocks, F.col("shard") == F.col("at"))
+    copies = copies.select("shard", F.col("of").alias("block"), "vec_id", "vector")
     return copies.groupBy(*by).cogroup(queries.groupBy(*by)).applyInArrow(search, schema)

@@ -51,8 +51,37 @@ def best_fit(items: list[Item], capacity: float, bins: int | None = None) -> lis
     return runs
 
 
+def level(runs: list[Run], sizes: dict[object, float], bins: int) -> list[Run]:
+    """Moves items from the fullest to the emptiest bin while that brings the two together.
+
+    Best fit fills one bin after another, so with few items the last ones would stay short.
+    """
+    held: list[dict[object, int]] = [{} for _ in range(bins)]
+    load = [0.0] * bins
+    for label, count, bin_ in runs:
+        held[bin_][label] = held[bin_].get(label, 0) + count
+        load[bin_] += count * sizes[label]
+    mean = sum(load) / bins
+    for _ in range(100 * bins):
+        full, empty = max(range(bins), key=load.__getitem__), min(range(bins), key=load.__getitem__)
+        gap = load[full] - load[empty]
+        fits = [x for x in held[full] if 0 < sizes[x] < gap]
+        if gap <= 1e-4 * mean or not fits:
+            break
+        label = min(fits, key=lambda x: (abs(sizes[x] - gap / 2), str(x)))
+        count = min(held[full][label], max(1, int(gap / 2 / sizes[label])))
+        held[full][label] -= count
+        if not held[full][label]:
+            del held[full][label]
+        held[empty][label] = held[empty].get(label, 0) + count
+        load[full] -= count * sizes[label]
+        load[empty] += count * sizes[label]
+    return [(label, count, bin_) for bin_, items in enumerate(held) for label, count in items.items()]
+
+
 def pack(items: list[Item], bins: int) -> list[Run]:
-    """The packing into ``bins`` bins of the least capacity that suffices, found by halving."""
+    """The packing into ``bins`` bins of the least capacity that suffices, found by halving, and
+    then levelled."""
     if not items:
         return []
     total = sum(size * count for size, count, _ in items)
@@ -66,7 +95,7 @@ def pack(items: list[Item], bins: int) -> list[Run]:
             low = middle
         else:
             high, found = middle, tighter
-    return found
+    return level(found, {label: size for size, _, label in items}, bins)
 
 
 def _size_class(size: Column) -> Column:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from jsonstrata.llm.frames import col
+from jsonstrata.llm.frames import col, keep
 
 #: Fixed patterns: what is never shown, tags that end a line, and all other tags.
 HIDDEN = r"(?is)<(script|style|title)[^>]*>.*?</(script|style|title)>|<!--.*?-->"
@@ -57,18 +57,18 @@ def drop_site_lines(
         F.array_distinct("lines"),
         lambda x: F.struct(F.xxhash64(x).alias("a"), F.xxhash64(F.lit(1), x).alias("b")),
     )
-    # The empty entry of each page counts the pages of the host in the same aggregation.
-    page = F.array(F.struct(F.lit(0).cast("long").alias("a"), F.lit(0).cast("long").alias("b")))
     counts = (
-        lines.select("host", F.inline(F.concat(page, distinct)))
+        lines.select("host", F.inline(distinct))
         .groupBy("host", "a", "b")
         .agg(F.count(F.lit(1)).alias("n"))
-        .where((F.col("n") >= min_pages) | ((F.col("a") == 0) & (F.col("b") == 0)))
+        .where(F.col("n") >= min_pages)
     )
-    totals = counts.where("a = 0 AND b = 0").select("host", F.col("n").alias("pages"))
-    dropped = (
-        counts.where("NOT (a = 0 AND b = 0)")
-        .join(totals, "host")
+    # Reads the urls alone.
+    totals = lines.groupBy("host").agg(F.count(F.lit(1)).alias("pages")).where(F.col("pages") >= min_pages)
+    # As a table of its own it can be broadcast if it is small; if not, both sides of the join are
+    # plain exchanges and Spark splits a host with many pages.
+    dropped = keep(
+        counts.join(totals, "host")
         .where(F.col("n") > F.lit(max_ratio) * F.col("pages"))
         .groupBy("host")
         .agg(F.collect_list(F.struct("a", "b")).alias("dropped"))

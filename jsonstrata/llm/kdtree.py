@@ -21,6 +21,7 @@ from jsonstrata.llm.frames import col, keep
 LEAF = 128
 #: Up to here sums of products are whole numbers as doubles.
 EXACT = float(1 << 53)
+LONG = (1 << 63) - 1
 
 
 class Tree:
@@ -74,6 +75,8 @@ class Tree:
                         heapq.heappush(waiting, (-both[x], child + x))
                 continue
             scores = self.vectors[first:last] @ query
+            if scores.dtype == object:
+                scores = np.clip(scores, -LONG, LONG)
             for x in np.flatnonzero(scores >= kth):
                 if self.ids[first + x] == own:
                     continue
@@ -117,9 +120,9 @@ def nearest(
     Both frames have an id and an array of numbers, of which the floor of 256 times each is used.
     Every vector but those of the query's own id is a candidate; ties go to the smaller id; ranks
     start from 1. Vectors that are null or hold a null, infinite or undefined component take no
-    part, nor do rows without an id; a missing component of a shorter vector counts as 0. A row
-    repeated among the vectors may be returned as often, a row repeated among the queries is
-    answered once. Empty tables give no rows; other columns may have any name.
+    part, nor do rows without an id; a missing component of a shorter vector counts as 0. A score
+    beyond the range of a long counts as the nearest long. A row repeated among the vectors may be
+    returned as often, a row repeated among the queries is answered once. Empty tables give no rows; other columns may have any name.
 
     Shards have about ``shard_rows`` vectors; queries meet them in blocks of ``query_block``.
     """

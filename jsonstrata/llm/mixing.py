@@ -17,6 +17,8 @@ from jsonstrata.llm.frames import col, keep
 
 #: Cost of a token in the first, second and third pass. The growth makes repetition convex.
 PASS_COSTS = (0, 1, 3)
+#: Buckets after the one where a share ends that may fill what a long document leaves open.
+END_BUCKETS = 3
 #: The words of a text: runs of anything but space and tab to carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -116,22 +118,48 @@ def _flow(patterns: dict[tuple[str, ...], int], quotas: dict[str, int], costs: t
 
 
 def _fill(pdf):
-    """Documents of one pattern's last bucket, taken in order while they fit what is left."""
+    """Documents where one pattern's share ends, taken in order while they fit what is left."""
     left = int(pdf["need"].iloc[0])
-    pdf = pdf.sort_values(["order", "doc_id", "size"], kind="stable")
+    pdf = pdf.sort_values(["bucket", "order", "doc_id", "size"], kind="stable")
+    sizes = pdf["size"].tolist()
     extra, skipped = [], None
-    for i, size in enumerate(pdf["size"]):
+    for i, size in enumerate(sizes):
         take = size <= left
         extra.append(int(take))
         left -= size if take else 0
-        if not take and (skipped is None or size < pdf["size"].iloc[skipped]):
+        if not take and (skipped is None or size < sizes[skipped]):
             skipped = i
-    if skipped is not None and pdf["size"].iloc[skipped] - left < left:
+    if skipped is not None and sizes[skipped] - left < left:
         extra[skipped] = 1
     pdf["extra"] = extra
     return pdf[["doc_id", "sources", "size", "passes", "extra"]]
 
 
+def _rounds(rows: DataFrame, left: dict[tuple[str, ...], int], most: int) -> dict[tuple[str, ...], tuple[list[int], int]]:
+    """For each pattern the sizes up to which documents get one more pass each, and what is left then.
+
+    Only documents that fit what is left can be chosen for it. Where even all of them are too few,
+    as beside one very long document, all are taken and the rest is sought once more.
+    """
+    spark = rows.sparkSession
+    done = {p: ([], n) for p, n in left.items()}
+    for _ in range(most):
+        open_ = [(list(p), n) for p, (_, n) in done.items() if n]
+        if not open_:
+            break
+        fits = rows.join(spark.createDataFrame(open_, "sources array<string>, left long"), "sources")
+        sums = fits.where("size <= left").groupBy("sources").agg(F.sum("size").alias("tokens")).collect()
+        short = {tuple(r["sources"]): r["tokens"] for r in sums}
+        changed = False
+        for p, n in ((tuple(p), n) for p, n in open_):
+            if 0 < short.get(p, 0) < n:
+                done[p] = ([*done[p][0], n], n - short[p])
+                changed = True
+        if not changed:
+            break
+    return done
+
+
 def mix(
     docs: DataFrame,
     weights: dict[str, float] | None = None,
@@ -152,7 +180,7 @@ def mix(
 
     Sources are part of the mix's definition: the driver holds a number for each source and pattern,
     never documents. Documents are ordered by a hash of seed and id, in buckets, so a source may hold
-    any share of the rows; only the bucket where a source's share ends is looked at row by row.
+    any share of the rows; only the few buckets where a source's share ends are looked at row by row.
     Repeated rows are documents of their own, documents without words are taken 0 times, empty tables
     give no rows, and other columns may have any name.
     """
@@ -183,37 +211,49 @@ def mix(
     given: dict[tuple[str, ...], int] = defaultdict(int)
     for (pattern, _), tokens in flow.items():
         given[pattern] += tokens
+    full = {p: divmod(given[p], t) if t else (0, 0) for p, t in patterns.items()}
+    rounds = _rounds(rows, {p: left for p, (_, left) in full.items()}, most)
     plan = [
-        (list(p), *(divmod(given[p], t) if t else (0, 0)), sum(sizes[s] for s in p), float(sum(target[s] for s in p)))
-        for p, t in patterns.items()
+        (list(p), full[p][0], *rounds[p], sum(sizes[s] for s in p), float(sum(target[s] for s in p)))
+        for p in patterns
     ]
-    plan = spark.createDataFrame(plan, "sources array<string>, passes long, need long, source_size long, target double")
+    plan = spark.createDataFrame(
+        plan, "sources array<string>, passes long, up_to array<long>, left long, source_size long, target double"
+    )
 
     buckets = max(1, -(-sum(r["n"] for r in found) // rows_per_bucket))
-    dealt = rows.withColumn("bucket", F.pmod(F.xxhash64(F.col("order")), F.lit(buckets)))
+    dealt = rows.join(plan.select("sources", "passes", "up_to", "left"), "sources")
+    more = F.size(F.filter("up_to", lambda most_words: most_words >= F.col("size")))
+    dealt = dealt.withColumn("passes", F.col("passes") + more).drop("up_to")
+    dealt = dealt.withColumn("bucket", F.pmod(F.xxhash64(F.col("order")), F.lit(buckets)))
+    # A document larger than all that is left can't be part of it.
+    columns = ["doc_id", "sources", "size", "passes"]
+    large = dealt.where(F.col("size") > F.col("left")).select(*columns, F.lit(0).cast("long").alias("extra"))
+    dealt = dealt.where(F.col("size") <= F.col("left"))
     before = Window.partitionBy("sources").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    near = Window.partitionBy("sources").orderBy("bucket").rowsBetween(-END_BUCKETS, 0)
+    within = (F.col("start") < F.col("left")) & (F.col("left") < F.col("start") + F.col("tokens"))
     ends = (
-        dealt.groupBy("sources", "bucket")
+        dealt.groupBy("sources", "bucket", "left")
         .agg(F.sum("size").alias("tokens"))
         .withColumn("start", F.coalesce(F.sum("tokens").over(before), F.lit(0)))
-        .join(plan.select("sources", "passes", F.col("need").alias("all")), "sources")
-        .select("sources", "bucket", "passes", "tokens", (F.col("all") - F.col("start")).alias("need"))
-    )
-    dealt = dealt.join(ends, ["sources", "bucket"])
-    split = (F.col("need") > 0) & (F.col("need") < F.col("tokens"))
-    clear = dealt.where(~split).select(
-        "doc_id", "sources", "size", "passes", F.when(F.col("need") > 0, 1).otherwise(0).cast("long").alias("extra")
+        # What is left where the share ends, seen from there and the next buckets.
+        .withColumn("need", F.max(F.when(within, F.col("left") - F.col("start"))).over(near))
+        .select("sources", "bucket", "need", (F.col("start") + F.col("tokens") <= F.col("left")).alias("whole"))
     )
+    dealt = dealt.drop("left").join(ends, ["sources", "bucket"])
+    clear = dealt.where("need IS NULL").select(*columns, F.col("whole").cast("long").alias("extra"))
     last = (
-        dealt.where(split)
-        .select("doc_id", "sources", "size", "passes", "order", "need")
+        dealt.where("need IS NOT NULL")
+        .select(*columns, "bucket", "order", "need")
         .groupBy("sources")
         .applyInPandas(
-            lambda pdf: _fill(pdf), f"doc_id {dict(rows.dtypes)['doc_id']}, sources array<string>, size long, passes long, extra long"
+            _fill, f"doc_id {dict(rows.dtypes)['doc_id']}, sources array<string>, size long, passes long, extra long"
         )
     )
     return (
-        clear.unionByName(last)
+        clear.unionByName(large)
+        .unionByName(last)
         .join(plan.select("sources", "source_size", "target"), "sources")
         .select(
             "doc_id",

@@ -52,7 +52,7 @@ def best_fit(items: list[Item], capacity: float, bins: int | None = None) -> lis
 
 
 def level(runs: list[Run], sizes: dict[object, float], bins: int) -> list[Run]:
-    """Moves items from the fullest to the emptiest bin while that brings the two together.
+    """Moves items to the emptiest bin from the fullest that has one small enough.
 
     Best fit fills one bin after another, so with few items the last ones would stay short.
     """
@@ -63,9 +63,12 @@ def level(runs: list[Run], sizes: dict[object, float], bins: int) -> list[Run]:
         load[bin_] += count * sizes[label]
     mean = sum(load) / bins
     for _ in range(100 * bins):
-        full, empty = max(range(bins), key=load.__getitem__), min(range(bins), key=load.__getitem__)
-        gap = load[full] - load[empty]
-        fits = [x for x in held[full] if 0 < sizes[x] < gap]
+        empty = min(range(bins), key=load.__getitem__)
+        for full in sorted(range(bins), key=load.__getitem__, reverse=True):
+            gap = load[full] - load[empty]
+            fits = [x for x in held[full] if 0 < sizes[x] < gap]
+            if gap <= 1e-4 * mean or fits:
+                break
         if gap <= 1e-4 * mean or not fits:
             break
         label = min(fits, key=lambda x: (abs(sizes[x] - gap / 2), str(x)))

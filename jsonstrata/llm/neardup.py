@@ -245,6 +245,6 @@ def near_duplicates(
     return (
         rows.select("doc_id", "n_shingles", *sets)
         .join(of_set, sets, "left")
-        .withColumn("component_id", F.when(F.col("n_shingles") > 0, F.coalesce("component_id", "doc_id")).otherwise(F.col("doc_id")))
+        .withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")))
         .select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
     )

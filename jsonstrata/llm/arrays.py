@@ -55,7 +55,8 @@ def stretches(data: np.ndarray, start: np.ndarray, end: np.ndarray, base: int =
     i = 0
     while i < len(start):
         low = int(start[i])
-        j = max(i + 1, int(np.searchsorted(start, low + PIECE)))
+        # Short stretches stay within the smallest tables of powers.
+        j = max(i + 1, int(np.searchsorted(start, low + PIECE // 2)))
         high = int(end[i:j].max())
         up, down = powers(base, high - low + 1)
         sums = np.zeros(high - low + 1, U64)

@@ -41,7 +41,8 @@ from jsonstrata.llm.removal import (
 
 #: Bytes of text whose blocks are sorted together before they are sent.
 TOGETHER = 16 << 20
-PIECE = 2 << 20
+#: Bytes of one round of array operations: with the overlap of slices, just below a power of two.
+PIECE = (1 << 20) - 4096
 
 
 def gram_ids(data: np.ndarray, q: int, base: int) -> np.ndarray:
@@ -92,7 +93,7 @@ def _slices(column: pa.Array, length: int) -> Iterator[tuple[int, np.ndarray, np
     _, bounds = buffers(column)
     for i, j in spans(bounds, PIECE):
         data, inner = buffers(column.slice(i, j - i))
-        if len(data) <= 2 * PIECE or j - i > 1:
+        if len(data) <= PIECE + length or j - i > 1:
             yield i, data, inner, 0
             continue
         for a in range(0, len(data) - length + 1, PIECE):
@@ -136,7 +137,8 @@ def drop_repeated_strings(
             held, size = [], 0
             for i, data, bounds, offset in _slices(batch.column("text"), length):
                 key, check, text, start, strings = blocks(data, bounds, length)
-                held.append((key, check >> U64(32), ids[i + text], start - bounds[text] + offset, strings))
+                start = (start - bounds[text] + offset).astype(np.uint32)
+                held.append((key, (check >> U64(32)).astype(np.uint32), ids[i + text], start, strings.astype(np.uint32)))
                 size += len(data)
                 if size >= TOGETHER:
                     yield from send(held)

@@ -4,7 +4,7 @@ batch replaces its rows instead of adding to them."""
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +15,8 @@ from jsonstrata.functions.names import quoted
 from jsonstrata.operators.metrics import observed_count
 
 BATCH_COLUMN = "_batch_id"
+# Folder of a table that names the batches joined up into others; Spark takes it for hidden.
+COMPACTED = "_compacted"
 # The one directory of a table that is replaced by every batch.
 CURRENT = "current"
 _SAFE_VALUE = re.compile(r"[A-Za-z0-9_.-]+")
@@ -108,6 +110,9 @@ class BatchTable:
         spark = df.sparkSession
         self.create(spark, df.schema)
         directory, spec = self._directory(owner_of(batch_id, mode), values or {})
+        if mode == "append" and batch_id in self.compacted(spark):
+            # Its rows are in the table already, under the name of what it was joined up into.
+            return 0
         rows, seen = observed_count(self._matched(df), f"write {self.name} {directory}")
         rows.write.mode("overwrite").parquet(directory)
         spark.sql(f"ALTER TABLE {self.name} ADD IF NOT EXISTS PARTITION ({spec})")
@@ -128,8 +133,51 @@ class BatchTable:
             spec = ", ".join(f"{quoted(k)} = '{v}'" for k, _, v in (p.partition("=") for p in parts))
             spark.sql(f"ALTER TABLE {self.name} DROP IF EXISTS PARTITION ({spec})")
             # The table is external, so its files are removed apart.
-            path = spark._jvm.org.apache.hadoop.fs.Path("/".join([self.path, *parts]))
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+            self._delete(spark, "/".join([self.path, *parts]))
+
+    def _delete(self, spark: SparkSession, folder: str) -> None:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+    def compacted(self, spark: SparkSession) -> dict[str, str]:
+        """The batches that were joined up, each with the name of what it is part of now."""
+        folder = f"{self.path}/{COMPACTED}"
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+            return {}
+        rows = spark.read.schema("batch string, part string").option("recursiveFileLookup", True).json(folder)
+        return {r["batch"]: r["part"] for r in rows.toLocalIterator()}
+
+    def compact(self, spark: SparkSession, batches: Iterable[str], into: str) -> None:
+        """Join batches up into one, named ``into``, with files of Spark's usual size.
+
+        For finished batches, such as those of a past day, and between two loads. A batch that is
+        run again afterwards adds nothing. A call that failed can be repeated: the joined rows are
+        written first, then the names of the batches, and only then their partitions go.
+        """
+        batches = sorted(set(batches) - {into})
+        done = self.compacted(spark)
+        if into not in done.values():
+            rows = self.read(spark, with_partitions=True).where(F.col(BATCH_COLUMN).isin(batches))
+            owners = rows.select(*self.keys).distinct().collect() if self.keys else [None]
+            for owner in owners:
+                values = {k: owner[k] for k in self.keys} if owner else {}
+                mine = rows
+                for key, value in values.items():
+                    mine = mine.where(F.col(key) == value)
+                directory, _ = self._directory(into, values)
+                mine = mine.drop(*self.partition_columns)
+                mine.hint("rebalance").write.mode("overwrite").parquet(directory)
+            names = spark.createDataFrame([(b, into) for b in batches], "batch string, part string")
+            names.coalesce(1).write.mode("overwrite").json(f"{self.path}/{COMPACTED}/{into}")
+        spark.catalog.recoverPartitions(self.name)
+        for row in spark.sql(f"SHOW PARTITIONS {self.name}").collect():
+            parts = row["partition"].split("/")
+            if parts[-1].removeprefix(f"{BATCH_COLUMN}=") in batches:
+                spec = ", ".join(f"{quoted(k)} = '{v}'" for k, _, v in (p.partition("=") for p in parts))
+                spark.sql(f"ALTER TABLE {self.name} DROP IF EXISTS PARTITION ({spec})")
+                self._delete(spark, "/".join([self.path, *parts]))
+        spark.catalog.refreshTable(self.name)
 
     def read(
         self,

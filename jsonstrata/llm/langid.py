@@ -53,10 +53,10 @@ SPANS = "array<struct<start:int,end:int,lang:string>>"
 
 @cache
 def _tables() -> tuple[np.ndarray, np.ndarray]:
-    """For every code point: whether it is a letter or belongs to one, and its script."""
-    letter = np.zeros(sys.maxunicode + 1, bool)
+    """For every code point: 1 for a letter, 2 for a mark that may belong to one; and its script."""
+    letter = np.zeros(sys.maxunicode + 1, np.uint8)
     for c in range(0x32400):
-        letter[c] = unicodedata.category(chr(c))[0] in "LM"
+        letter[c] = {"L": 1, "M": 2}.get(unicodedata.category(chr(c))[0], 0)
     script = np.full(sys.maxunicode + 1, OTHER, np.uint8)
     for number, ranges in enumerate(SCRIPTS.values()):
         for first, last in ranges:
@@ -89,10 +89,15 @@ class Words:
         inside = letter[points]
         kinds = script[points]
         at = np.flatnonzero(inside)
-        before, after = at - 1, at + 1  # the last point is a line break
         joined = np.zeros(len(at), bool)
         if len(at):
-            joined[1:] = (at[1:] == at[:-1] + 1) & (kinds[at[1:]] == kinds[at[:-1]])
+            joined[1:] = (at[1:] == at[:-1] + 1) & ((kinds[at[1:]] == kinds[at[:-1]]) | (inside[at[1:]] == 2))
+            # Marks alone are no word.
+            first = np.flatnonzero(~joined)
+            real = np.add.reduceat(inside[at] == 1, first, dtype=np.int64) > 0
+            real = np.repeat(real, np.diff(np.append(first, len(at))))
+            at, joined = at[real], joined[real]
+        before, after = at - 1, at + 1  # the last point is a line break
         left = np.where(joined, points[before], 0).astype(np.uint64)
         right = np.zeros(len(at), np.uint64)
         right[:-1] = np.where(joined[1:], points[after[:-1]], 0)

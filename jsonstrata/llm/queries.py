@@ -76,6 +76,28 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Bytes are pairs of hexadecimal digits here.
+OP4_SQL = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+starts AS (SELECT doc_id, h, unnest(range(0, greatest(len(h) // 2 - 49, 0))) AS p FROM d),
+strings AS (SELECT doc_id, p, md5(h[2 * p + 1:2 * p + 100]) AS s FROM starts),
+firsts AS (SELECT s, min(doc_id) AS first FROM strings GROUP BY s),
+hits AS (SELECT doc_id, p FROM strings JOIN firsts USING (s) WHERE first < doc_id),
+marked AS (SELECT doc_id, p, coalesce(p - lag(p) OVER (PARTITION BY doc_id ORDER BY p) > 50, true)::INT AS new FROM hits),
+numbered AS (SELECT doc_id, p, sum(new) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM marked),
+runs AS (SELECT doc_id, min(p) AS a, max(p) + 50 AS b FROM numbered GROUP BY doc_id, run),
+edges AS (
+  SELECT doc_id, a, b, lag(b, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS before FROM runs
+  UNION ALL
+  SELECT doc_id, len(h) // 2, NULL, coalesce((SELECT max(b) FROM runs WHERE runs.doc_id = d.doc_id), 0) FROM d),
+kept AS (
+  SELECT doc_id, string_agg(h[2 * before + 1:2 * a], '' ORDER BY a, b NULLS LAST) AS k, count(b) AS n_spans
+  FROM edges JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, (len(h) // 2)::BIGINT AS n_bytes, ((len(h) - len(k)) // 2)::BIGINT AS n_removed,
+       n_spans::BIGINT AS n_spans, sha256(unhex(k)) AS kept_sha256
+FROM d JOIN kept USING (doc_id)"""
+
+
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings")
     return kdtree.nearest(rows, rows.where("vec_id % 50 = 0"), k=5)
@@ -193,7 +215,7 @@ CATALOGUE: dict[str, Query] = {
     "op1_language_spans": Query(op1, None),
     "op2_site_line_dedup": Query(op2, OP2_SQL),
     "op3_sentence_spans": Query(op3, None),
-    "op4_bucket_refinement": Query(op4, None),
+    "op4_bucket_refinement": Query(op4, OP4_SQL),
     "op5_kdtree_top_k": Query(op5, OP5_SQL),
     "op6_string_tiling": Query(op6, None),
     "op7_best_fit_shards": Query(op7, None),

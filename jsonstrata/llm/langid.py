@@ -168,10 +168,33 @@ def train(
     return Model(langs, np.ascontiguousarray(scores.T, np.float32), np.ascontiguousarray(written.T))
 
 
+def _alone(score: np.ndarray, first: np.ndarray, counts: np.ndarray, switch: float) -> tuple[np.ndarray, np.ndarray]:
+    """The best single language of each text, and whether no path with switches can beat it.
+
+    A path that leaves the language in m stretches pays for m switches, or for m - 1 if it never
+    comes back. So if no stretch of words gains more than half a penalty in any other language,
+    staying is best.
+    """
+    single = np.add.reduceat(score, first, axis=0, dtype=np.float64).argmax(axis=1)
+    own = np.repeat(single, counts)
+    most = np.zeros(len(first))
+    # Each text starts lower than any sum of the text before, so a running minimum starts anew.
+    fall = np.repeat(np.arange(len(first)) * -1e9, counts)
+    base = score[np.arange(len(score)), own].astype(np.float64)
+    for lang in range(score.shape[1]):
+        gain = score[:, lang] - base
+        total = np.cumsum(gain)
+        total -= np.repeat(total[first] - gain[first], counts)
+        before = total - gain + fall
+        stretch = total + fall - np.minimum.accumulate(before)
+        most = np.maximum(most, np.maximum.reduceat(stretch, first))
+    return single, most < switch / 2 - 0.1
+
+
 def label_words(words: Words, model: Model, switch: float) -> np.ndarray:
     """The language number of every word, by a Viterbi pass over each text's words.
 
-    The texts advance side by side, a word at a time, so that a step is one operation on an array.
+    Texts that are surely of one language need no pass. The other texts advance side by side, a word at a time, so that a step is one operation on an array.
     A word whose script no language is written in is free to follow its neighbours.
     """
     n, langs = len(words.first), len(model.langs)
@@ -184,8 +207,13 @@ def label_words(words: Words, model: Model, switch: float) -> np.ndarray:
     score[~known] = 0
     counts = np.bincount(words.text, minlength=int(words.text.max()) + 1)
     first = np.cumsum(counts) - counts
-    order = np.argsort(-counts, kind="stable")
-    order = order[counts[order] > 0]
+    some = np.flatnonzero(counts)
+    single, sure = _alone(score, first[some], counts[some], switch)
+    label = np.repeat(single, counts[some])
+    order = some[~sure]
+    if not len(order):
+        return label
+    order = order[np.argsort(-counts[order], kind="stable")]
     lengths = counts[order]
     came = np.zeros((n, langs), np.int8 if langs < 128 else np.int32)
     best = score[first[order]].copy()
@@ -203,7 +231,6 @@ def label_words(words: Words, model: Model, switch: float) -> np.ndarray:
         came[at] = np.where(stay, own, top[:, None].astype(came.dtype))
         best[:active] = np.where(stay, now, other[:, None]) + score[at]
         best[:active] -= best[:active].max(axis=1, keepdims=True)
-    label = np.zeros(n, np.int64)
     state = best.argmax(axis=1)
     for step in range(steps - 1, -1, -1):
         active = still[step]

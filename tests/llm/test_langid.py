@@ -74,3 +74,14 @@ def test_held_out_accuracy(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "lang")
     right = found.where("held_out").join(docs, "doc_id").agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int")))
     assert right.first()[0] > 0.95
+
+
+def test_shortcut_changes_no_label(model, monkeypatch):
+    draw = random.Random(8)
+    texts = [" ".join(prose(draw.choice(["aa", "bb"]), draw.randint(1, 9), draw.random()) for _ in range(draw.randint(1, 5))) for _ in range(300)]
+    words = langid.Words([*texts, "", "12"])
+    for switch in (1.0, 6.0, 20.0):
+        short = langid.label_words(words, model, switch)
+        with monkeypatch.context() as patch:
+            patch.setattr(langid, "_alone", lambda s, f, c, p: (f * 0, f < 0))
+            assert (langid.label_words(words, model, switch) == short).all()

@@ -16,7 +16,7 @@ U64 = np.uint64
 #: Odd multipliers of the polynomials; the second makes an independent hash.
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 #: Bytes handled by one round of array operations.
-PIECE = 1 << 20
+PIECE = 1 << 18
 #: White space of the word definition: space, tab to carriage return.
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -80,11 +80,12 @@ def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return text[int(bounds[0]) : int(bounds[-1])], (bounds - bounds[0]).astype(np.int64)
 
 
-def spans(bounds: np.ndarray, limit: int = 4 * PIECE) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of up to ``limit`` bytes together; a longer text is a range of its own."""
+def spans(bounds: np.ndarray, limit: int = 4 * PIECE, most: int = 4096) -> Iterator[tuple[int, int]]:
+    """Ranges of up to ``most`` texts of up to ``limit`` bytes together; a longer text is a range of its own."""
     i = 0
     while i < len(bounds) - 1:
         j = max(i + 1, int(np.searchsorted(bounds, bounds[i] + limit, "right")) - 1)
+        j = min(j, i + most)
         yield i, j
         i = j
 

@@ -22,21 +22,33 @@ def keep(df: DataFrame) -> DataFrame:
     """The rows as a table written below ``spark.checkpoint.dir``.
 
     Cuts the lineage: later steps read the files, which outlive every executor, and a frame used
-    more than once is computed once.
+    more than once is computed once. The shuffle files of the steps before are no longer needed;
+    Spark deletes them when the driver's JVM collects its garbage, which is asked for here so that
+    they don't lie beside those of the next step.
     """
     folder = shared_folder(df.sparkSession)
     df.write.parquet(folder)
+    df.sparkSession.sparkContext._jvm.System.gc()
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
 PACKAGE = Path(__file__).resolve().parent.parent
 
 
-def ship(spark: SparkSession) -> None:
-    """Send this package to the Python workers, unless their import path has it already.
+#: Rows that a Python worker gets at once; at some kilobytes of text each, a few megabytes.
+BATCH_ROWS = 1000
+BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
-    They share the driver's working folder and ``PYTHONPATH`` only on some clusters.
+
+def ready(spark: SparkSession) -> None:
+    """Set the session up for operators that work on Arrow batches of whole texts.
+
+    Batches are made smaller, since an executor holds several of them twice, and the package is sent
+    to the Python workers unless their import path has it: they share the driver's working folder and
+    ``PYTHONPATH`` only on some clusters.
     """
+    if int(spark.conf.get(BATCH_SETTING)) > BATCH_ROWS:
+        spark.conf.set(BATCH_SETTING, BATCH_ROWS)
     root = str(PACKAGE.parent)
     sent = f"{PACKAGE.name}.zip"
     if root in (os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)):
@@ -51,7 +63,7 @@ def ship(spark: SparkSession) -> None:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    ship(spark)
+    ready(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

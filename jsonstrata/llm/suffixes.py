@@ -40,9 +40,9 @@ from jsonstrata.llm.removal import (
 )
 
 #: Bytes of text whose blocks are sorted together before they are sent.
-TOGETHER = 16 << 20
+TOGETHER = 8 << 20
 #: Bytes of one round of array operations: with the overlap of slices, just below a power of two.
-PIECE = (1 << 20) - 4096
+PIECE = (1 << 18) - 4096
 
 
 def gram_ids(data: np.ndarray, q: int, base: int) -> np.ndarray:
@@ -132,9 +132,9 @@ def drop_repeated_strings(
         return packed(COVERED, id_bucket(ids, buckets), ids, start, strings + (length - 1))
 
     def find_blocks(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        held, size = [], 0
         for batch in batches:
             ids = batch.column("doc_id").to_numpy()
-            held, size = [], 0
             for i, data, bounds, offset in _slices(batch.column("text"), length):
                 key, check, text, start, strings = blocks(data, bounds, length)
                 start = (start - bounds[text] + offset).astype(np.uint32)
@@ -143,8 +143,8 @@ def drop_repeated_strings(
                 if size >= TOGETHER:
                     yield from send(held)
                     held, size = [], 0
-            if held:
-                yield from send(held)
+        if held:
+            yield from send(held)
 
     def send(held: list) -> Iterator[pa.RecordBatch]:
         key, check, ids, start, strings = (np.concatenate(x) for x in zip(*held, strict=True))

@@ -17,6 +17,8 @@ from jsonstrata.llm.arrays import BASES, LOWER, SPACE, U64, buffers, mix, powers
 from jsonstrata.llm.frames import keep
 from jsonstrata.llm.removal import COVERED, KEYED, SCHEMA, as_table, cut, groups, id_bucket, packed, texts, unpacked
 
+#: Bytes of text whose runs are sorted together before they are sent.
+TOGETHER = 16 << 20
 #: Bytes that end a sentence before white space, and the one that always does.
 STOPS = np.zeros(256, bool)
 STOPS[[ord(c) for c in ".!?"]] = True
@@ -95,22 +97,28 @@ def drop_repeated_sentences(
     rows, buckets = texts(docs, id_column, text_column)
 
     def hash_runs(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        held, done = [], 0
         for batch in batches:
             ids = batch.column("doc_id").to_numpy()
             _, bounds = buffers(batch.column("text"))
-            for i, j in spans(bounds, 16 << 20):
-                found = []
-                for a, b in spans(bounds[i : j + 1]):
-                    part = batch.column("text").slice(i + a, b - a)
-                    data, inner = buffers(part)
-                    key, check, text, start, size = sentence_runs(data, inner, run_sentences, min_words)
-                    found.append((key, (check >> U64(32)), ids[i + a + text], start - inner[text], size))
-                key, check, of, start, size = (np.concatenate(x) for x in zip(*found, strict=True))
-                order, later = _later(key, check, of, start)
-                late, early = order[later], np.sort(order[~later])
-                yield from packed(COVERED, id_bucket(of[late], buckets), of[late], start[late], size[late])
-                bucket = (key[early] % U64(buckets)).astype(np.int64)
-                yield from packed(KEYED, bucket, of[early], start[early], size[early], key[early], check[early])
+            for i, j in spans(bounds):
+                data, inner = buffers(batch.column("text").slice(i, j - i))
+                key, check, text, start, size = sentence_runs(data, inner, run_sentences, min_words)
+                held.append((key, (check >> U64(32)), ids[i + text], start - inner[text], size))
+                done += len(data)
+                if done >= TOGETHER:
+                    yield from send(held)
+                    held, done = [], 0
+        if held:
+            yield from send(held)
+
+    def send(held: list) -> Iterable[pa.RecordBatch]:
+        key, check, of, start, size = (np.concatenate(x) for x in zip(*held, strict=True))
+        order, later = _later(key, check, of, start)
+        late, early = order[later], np.sort(order[~later])
+        yield from packed(COVERED, id_bucket(of[late], buckets), of[late], start[late], size[late])
+        bucket = (key[early] % U64(buckets)).astype(np.int64)
+        yield from packed(KEYED, bucket, of[early], start[early], size[early], key[early], check[early])
 
     def meet(table: pa.Table) -> pa.Table:
         x = unpacked(table, KEYED)

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from jsonstrata.llm.arrays import WORDLIKE, buffers, runs, spans, stretches, words
-from jsonstrata.llm.frames import col, keep
+from jsonstrata.llm.frames import col, keep, ready
 
 #: Bits of the table that tells most words' seeds apart from the benchmark's before they are searched.
 FILTER_BITS = 24
@@ -113,6 +113,7 @@ def find_contamination(
     have any name.
     """
     spark = docs.sparkSession
+    ready(spark)
     rows = docs.select(col(id_column).alias("doc_id"), col(text_column).alias("text"))
     items = benchmark.select(col(item_column).alias("item_id"), col(item_text_column).alias("text")).where("text IS NOT NULL")
     total = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first()["bytes"]

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from jsonstrata.llm.frames import col, keep
+from jsonstrata.llm.frames import col, keep, ready
 
 LEAF = 128
 #: Up to here sums of products are whole numbers as doubles.
@@ -132,6 +132,7 @@ def nearest(
         sound = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) < F.lit(float("inf"))))
         return rows.where(F.col("vec_id").isNotNull() & sound).select("vec_id", integers(F.col("vector")).alias("vector"))
 
+    ready(vectors.sparkSession)
     base = keep(usable(vectors))
     asked = keep(usable(queries).dropDuplicates(["vec_id"]))
     size = base.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.max(F.size("vector")), F.lit(0)).alias("width")).first()

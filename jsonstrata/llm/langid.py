@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from jsonstrata.llm.arrays import spans
-from jsonstrata.llm.frames import col
+from jsonstrata.llm.frames import col, ready
 
 #: First and last code point of the blocks of each script.
 SCRIPTS = {
@@ -129,6 +129,7 @@ def train(
     Rows without a label or text teach nothing. The counts of trigrams are added up in Spark.
     """
     spark = labelled.sparkSession
+    ready(spark)
     rows = labelled.select(col(lang_column).alias("lang"), col(text_column).alias("text")).dropna()
     share = {r["lang"]: min(1.0, rows_per_lang / r["n"]) for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     langs = sorted(share)
@@ -261,6 +262,7 @@ def reject(
 
     Null texts and texts without letters go. The rest is as in :func:`identify`.
     """
+    ready(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     number = docs.columns.index(text_column)
 
@@ -287,6 +289,7 @@ def identify(
     """
     rows = docs.select(col(id_column).alias("doc_id"), col(text_column).alias("text"))
     kind = dict(rows.dtypes)["doc_id"]
+    ready(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from jsonstrata.llm.arrays import U64, buffers, mix, shingles, spans
-from jsonstrata.llm.frames import col, keep
+from jsonstrata.llm.frames import col, keep, ready
 from jsonstrata.llm.graph import components
 
 #: Coordinates of one byte.
@@ -197,6 +197,7 @@ def near_duplicates(
     no rows; other columns may have any name.
     """
     size = band_size(percent)
+    ready(docs.sparkSession)
     texts = docs.select(col(id_column).cast("long").alias("doc_id"), col(text_column).alias("text"))
     rows = keep(
         texts.mapInArrow(

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from jsonstrata.llm.arrays import U64, buffers
-from jsonstrata.llm.frames import col
+from jsonstrata.llm.frames import col, ready
 
 #: Kinds of rows.
 KEYED, COVERED, ASKED, OPEN = range(4)
@@ -31,6 +31,7 @@ MOST_IDS = 60_000
 
 def texts(docs: DataFrame, id_column: str, text_column: str) -> tuple[DataFrame, int]:
     """(doc_id, text) with the bucket of each document, and the number of buckets."""
+    ready(docs.sparkSession)
     rows = docs.select(col(id_column).cast("long").alias("doc_id"), col(text_column).alias("text"))
     total = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first()["bytes"]
     buckets = -(-total // BUCKET_BYTES) | 1

@@ -111,6 +111,8 @@ def json_flatten_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages = as_messages(
         table(spark, sf_dir, "lineitem"), F.lit(0), F.col("l_orderkey"), F.to_json(document)
     )
+    # The table is one scan partition here; parsing is the work, so the messages are spread first.
+    messages = messages.repartition(spark.sparkContext.defaultParallelism, "partition", "offset")
     lines = strip_prefix(readable(parse_messages(messages, LINE_SCHEMA)))
     return explode_structs(lines, "measures").select(
         F.col("order").alias("order_key"),
@@ -313,8 +315,7 @@ def bounded_oldest_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     return oldest_first(event_files(spark, sf_dir), 100).select("path", "bytes")
 
 
-# The moment at which the listing is taken, and the largest file accepted.
-LISTED_AT = "2024-01-01 00:10:00"
+# The largest file accepted.
 LISTING_LIMIT = 5000
 
 
@@ -326,7 +327,12 @@ def eligible_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.timestamp_seconds(F.unix_seconds(start) + F.col("doc_id")).alias("modified"),
         F.col("n_chars").alias("bytes"),
     )
-    now = F.to_timestamp(F.lit(LISTED_AT))
+    # Half-way through the listing's times, so that the files taken grow with the table.
+    times = listing.agg(F.unix_seconds(F.min("modified")).alias("first"), F.unix_seconds(F.max("modified")).alias("last"))
+    ends = times.first()
+    if ends["first"] is None:
+        return listing.select("path", "bytes")
+    now = F.timestamp_seconds(F.lit((ends["first"] + ends["last"]) // 2))
     return eligible(listing, now, max_file_bytes=LISTING_LIMIT).select("path", "bytes")
 
 
@@ -521,9 +527,9 @@ CATALOGUE = {
     "eligible_filter": Query(
         eligible_filter,
         "SELECT source || '-' || doc_id || '.json' AS path, n_chars AS bytes FROM documents"
-        f" WHERE lang <> 'de' AND n_chars BETWEEN 1 AND {LISTING_LIMIT}"
-        f" AND TIMESTAMP '2024-01-01 00:00:00' + to_seconds(doc_id) + INTERVAL 5 SECOND"
-        f" <= TIMESTAMP '{LISTED_AT}'",
+        f" WHERE lang <> 'de' AND n_chars BETWEEN 1 AND {LISTING_LIMIT} AND doc_id + 5 <="
+        " (SELECT (2 * epoch(TIMESTAMP '2024-01-01 00:00:00')::BIGINT + min(doc_id) + max(doc_id)) // 2"
+        " - epoch(TIMESTAMP '2024-01-01 00:00:00')::BIGINT FROM documents)",
     ),
     "message_identity": Query(
         message_identity,

@@ -19,6 +19,8 @@ from jsonstrata.llm.frames import col, keep
 PASS_COSTS = (0, 1, 3)
 #: Buckets after the one where a share ends that may fill what a long document leaves open.
 END_BUCKETS = 3
+#: Patterns up to which their table is broadcast.
+BROADCAST_PATTERNS = 100_000
 #: The words of a text: runs of anything but space and tab to carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -135,6 +137,15 @@ def _fill(pdf):
     return pdf[["doc_id", "sources", "size", "passes", "extra"]]
 
 
+def _beside(df: DataFrame, rows: int) -> DataFrame:
+    """A table of a row for each pattern, sent to all tasks if it has few rows.
+
+    A source may hold a third of the documents, so they should not be shuffled by pattern; beyond the
+    bound Spark's join divides such a source.
+    """
+    return F.broadcast(df) if rows <= BROADCAST_PATTERNS else df
+
+
 def _rounds(rows: DataFrame, left: dict[tuple[str, ...], int], most: int) -> dict[tuple[str, ...], tuple[list[int], int]]:
     """For each pattern the sizes up to which documents get one more pass each, and what is left then.
 
@@ -147,7 +158,8 @@ def _rounds(rows: DataFrame, left: dict[tuple[str, ...], int], most: int) -> dic
         open_ = [(list(p), n) for p, (_, n) in done.items() if n]
         if not open_:
             break
-        fits = rows.join(spark.createDataFrame(open_, "sources array<string>, left long"), "sources")
+        words_left = spark.createDataFrame(open_, "sources array<string>, left long")
+        fits = rows.join(_beside(words_left, len(open_)), "sources")
         sums = fits.where("size <= left").groupBy("sources").agg(F.sum("size").alias("tokens")).collect()
         short = {tuple(r["sources"]): r["tokens"] for r in sums}
         changed = False
@@ -220,6 +232,7 @@ def mix(
     plan = spark.createDataFrame(
         plan, "sources array<string>, passes long, up_to array<long>, left long, source_size long, target double"
     )
+    plan = _beside(plan, len(patterns))
 
     buckets = max(1, -(-sum(r["n"] for r in found) // rows_per_bucket))
     dealt = rows.join(plan.select("sources", "passes", "up_to", "left"), "sources")

@@ -3,23 +3,29 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from operator import or_
 
+from pyspark import inheritable_thread_target
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Halvings after which messages that still share a part are taken together: their hashes are equal.
-DEEPEST = 62
+#: Bits of the hash after which messages that still share a part are taken together: their hashes are equal.
+DEEPEST = 60
 REASON_CHARS = 500
+#: A failing part is divided into 2 to the power of this many parts, which are tried at once.
+BITS = 3
+AT_ONCE = 8
 
 
 def isolate(messages: DataFrame, attempt: Callable[[DataFrame], object]) -> tuple[DataFrame, DataFrame]:
     """Messages on which ``attempt`` succeeds, and those at fault with a ``reason``.
 
-    A part of the messages that fails is halved by a hash of topic, partition and offset until it
-    has one message, so a faulty message costs about two attempts for each doubling of the batch.
+    A part of the messages that fails is divided by a hash of topic, partition and offset until it
+    has one message, so a faulty message costs a few rounds of attempts side by side, as many as the
+    logarithm of the batch.
     Nothing but the parts' numbers and error texts comes to the driver. ``messages`` is read by
     every attempt and should be persisted.
     """
@@ -30,18 +36,31 @@ def isolate(messages: DataFrame, attempt: Callable[[DataFrame], object]) -> tupl
         return F.pmod(place, F.lit(1 << level)) == rest
 
     total = messages.count()
-    waiting, bad = [(0, 0)], []
-    while waiting:
-        level, rest = waiting.pop()
+
+    def trouble(place: tuple[int, int]) -> tuple[str, bool] | None:
+        """The error of a part, and whether it can't be divided further."""
+        level, rest = place
         chosen = messages.where(part(level, rest))
         try:
             attempt(chosen)
         except PySparkException as error:
             single = (1 << level) >= total and chosen.limit(2).count() < 2
-            if single or level >= DEEPEST:
-                bad.append((part(level, rest), str(error)[:REASON_CHARS]))
-            else:
-                waiting += [(level + 1, rest), (level + 1, rest + (1 << level))]
+            return str(error)[:REASON_CHARS], single or level >= DEEPEST
+        return None
+
+    waiting, bad = [(0, 0)], []
+    with ThreadPoolExecutor(AT_ONCE) as pool:
+        run = inheritable_thread_target(messages.sparkSession)(trouble)
+        while waiting:
+            tried, waiting = waiting, []
+            for (level, rest), found in zip(tried, pool.map(run, tried), strict=True):
+                if found is None:
+                    continue
+                text, last = found
+                if last:
+                    bad.append((part(level, rest), text))
+                else:
+                    waiting += [(level + BITS, rest + (i << level)) for i in range(1 << BITS)]
     if not bad:
         return messages, messages.where(F.lit(False)).withColumn("reason", F.lit(""))
     faulty = reduce(or_, [condition for condition, _ in bad])

@@ -29,8 +29,9 @@ from jsonstrata.llm.graph import components
 WIDTH = 384
 #: A pair at the threshold may agree in no band with this probability; any closer pair has a lower one.
 MISS = 1e-6
-#: Least estimate of a pair worth an exact check: six standard deviations below the threshold.
-MARGIN = 6.0
+#: Least estimate of a pair worth an exact check, in standard deviations below the threshold: a linked
+#: pair is estimated lower with a probability of MISS.
+MARGIN = 4.75
 #: Documents of a bucket that are compared as one block.
 BLOCK = 256
 
@@ -189,7 +190,8 @@ def near_duplicates(
     ``shingle_words``-word shingles (fewer words: the whole sequence). Words are separated by white
     space, A to Z in lower case. ``component_id`` is the smallest id that links reach, and the
     document of that id is kept. Bands are chosen so that a
-    linked pair is missed with a probability of at most 1e-6.
+    linked pair is missed with a probability of at most 1e-6, and the estimate that spares far pairs
+    the exact check is as sure.
 
     Documents of equal sets are one node, its smallest id. Null or empty texts have an empty set and
     are linked with nothing; rows without an id take no part and are kept. A repeated row is in the

@@ -18,17 +18,28 @@ def col(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+#: Whether Spark deletes the shuffle files of a statement at its end.
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def keep(df: DataFrame) -> DataFrame:
     """The rows as a table written below ``spark.checkpoint.dir``.
 
     Cuts the lineage: later steps read the files, which outlive every executor, and a frame used
-    more than once is computed once. The shuffle files of the steps before are no longer needed;
-    Spark deletes them when the driver's JVM collects its garbage, which is asked for here so that
-    they don't lie beside those of the next step.
+    more than once is computed once. The shuffle files of the write are no longer needed then; Spark
+    is told to delete them with it, so that they don't lie beside those of the next step.
     """
-    folder = shared_folder(df.sparkSession)
-    df.write.parquet(folder)
-    df.sparkSession.sparkContext._jvm.System.gc()
+    spark = df.sparkSession
+    folder = shared_folder(spark)
+    before = spark.conf.get(CLEAN_UP, None)
+    spark.conf.set(CLEAN_UP, True)
+    try:
+        df.write.parquet(folder)
+    finally:
+        if before is None:
+            spark.conf.unset(CLEAN_UP)
+        else:
+            spark.conf.set(CLEAN_UP, before)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 

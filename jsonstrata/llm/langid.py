@@ -172,13 +172,15 @@ def train(
 def _alone(score: np.ndarray, first: np.ndarray, counts: np.ndarray, switch: float) -> tuple[np.ndarray, np.ndarray]:
     """The best single language of each text, and whether no path with switches can beat it.
 
-    A path that leaves the language in m stretches pays for m switches, or for m - 1 if it never
-    comes back. So if no stretch of words gains more than half a penalty in any other language,
-    staying is best.
+    A path that has the language somewhere pays at least a switch for every stretch in another one,
+    so it can't win if no stretch gains a penalty. One that never has it starts and ends in others,
+    with a switch in between for all stretches but one, so it can't win either if the best gains of
+    a beginning and of an end together are below a penalty.
     """
     single = np.add.reduceat(score, first, axis=0, dtype=np.float64).argmax(axis=1)
     own = np.repeat(single, counts)
-    most = np.zeros(len(first))
+    most, begin, end = (np.full(len(first), -np.inf) for _ in range(3))
+    last = first + counts - 1
     # Each text starts lower than any sum of the text before, so a running minimum starts anew.
     fall = np.repeat(np.arange(len(first)) * -1e9, counts)
     base = score[np.arange(len(score)), own].astype(np.float64)
@@ -189,7 +191,11 @@ def _alone(score: np.ndarray, first: np.ndarray, counts: np.ndarray, switch: flo
         before = total - gain + fall
         stretch = total + fall - np.minimum.accumulate(before)
         most = np.maximum(most, np.maximum.reduceat(stretch, first))
-    return single, most < switch / 2 - 0.1
+        foreign = single != lang
+        begin = np.where(foreign, np.maximum(begin, np.maximum.reduceat(total, first)), begin)
+        tail = np.repeat(total[last], counts) - (total - gain)
+        end = np.where(foreign, np.maximum(end, np.maximum.reduceat(tail, first)), end)
+    return single, (most < switch - 0.1) & (begin + end < switch - 0.1)
 
 
 def label_words(words: Words, model: Model, switch: float) -> np.ndarray:

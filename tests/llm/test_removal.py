@@ -111,6 +111,38 @@ def test_sentences_of_odd_rows(spark):
     assert drop_repeated_sentences(documents(spark, rows).where("false")).count() == 0
 
 
+def test_repeats_of_one_sentence_or_inside_one(spark):
+    draw = random.Random(3)
+    make = lambda n: " ".join(f"{draw.choice('bcdfg')}{draw.randrange(10**6)}" for _ in range(n))
+    inside, alone, line, short = make(60), make(10) + ".", make(30), make(9) + "."
+    texts = [
+        (1, f"{make(40)} {inside} {make(40)}"),
+        (2, f"Own start. {alone} Own end."),
+        (3, line),
+        (4, f"Some. {short} Thing."),
+        (5, f"{make(25)} {inside.upper()} {make(33)}. {make(9)}"),
+        (6, f"Other. {alone} Last."),
+        (7, line),
+        (8, f"Any. {short} Word."),
+        (9, f"{make(12)} {inside}"),
+    ]
+    got = drop_repeated_sentences(documents(spark, texts))
+    check_spans(got, texts)
+    kept = {i: k.decode() for i, k in result(got).items()}
+    assert all(kept[i] == t for i, t in texts if i in (1, 2, 3, 4, 8))
+    assert kept[7] == "" and kept[6] == "Other. Last."
+    for i, own in ((5, 67), (9, 12)):
+        words = dict(texts)[i].split()
+        assert set(words) - set(inside.split()) - set(inside.upper().split()) <= set(kept[i].split())
+        # Up to 8 words before the first common place, and less than a part and 8 words at the end.
+        assert own <= len(kept[i].split()) <= own + 8 + 12
+    # Sentences shorter than a window of words, and one repeated word.
+    odd = documents(spark, [(1, "a b c"), (2, "z a b c"), (3, "x " * 500), (4, "a b c")])
+    tiny = drop_repeated_sentences(odd.where("doc_id <> 3"), alone_words=1)
+    assert {i: len(k.split()) for i, k in result(tiny).items()} == {1: 3, 2: 4, 4: 0}
+    assert {i: len(k.split()) for i, k in result(drop_repeated_sentences(odd)).items()} == {1: 3, 2: 4, 3: 1, 4: 3}
+
+
 def test_rows_are_packed_and_unpacked():
     ids = np.array([7, 3, 7, 2**40])
     start, size = np.arange(4), np.arange(4) + 10

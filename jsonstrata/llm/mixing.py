@@ -17,8 +17,6 @@ from jsonstrata.llm.frames import col, keep
 
 #: Cost of a token in the first, second and third pass. The growth makes repetition convex.
 PASS_COSTS = (0, 1, 3)
-#: Buckets after the one where a share ends that may fill what a long document leaves open.
-END_BUCKETS = 3
 #: Patterns up to which their table is broadcast.
 BROADCAST_PATTERNS = 100_000
 #: The words of a text: runs of anything but space and tab to carriage return.
@@ -119,22 +117,26 @@ def _flow(patterns: dict[tuple[str, ...], int], quotas: dict[str, int], costs: t
     return {key: arcs[i ^ 1][1] for key, i in between.items()}
 
 
-def _fill(pdf):
-    """Documents where one pattern's share ends, taken in order while they fit what is left."""
+def _taken(pdf):
+    """Documents of the bucket where one pattern's share ends, taken in order while they fit, and what is left."""
     left = int(pdf["need"].iloc[0])
-    pdf = pdf.sort_values(["bucket", "order", "doc_id", "size"], kind="stable")
-    sizes = pdf["size"].tolist()
-    extra, skipped = [], None
-    for i, size in enumerate(sizes):
-        take = size <= left
-        extra.append(int(take))
-        left -= size if take else 0
-        if not take and (skipped is None or size < sizes[skipped]):
-            skipped = i
-    if skipped is not None and sizes[skipped] - left < left:
-        extra[skipped] = 1
+    pdf = pdf.sort_values(["order", "doc_id", "size"], kind="stable")
+    extra = []
+    for size in pdf["size"].tolist():
+        extra.append(int(size <= left))
+        left -= size if size <= left else 0
     pdf["extra"] = extra
-    return pdf[["doc_id", "sources", "size", "passes", "extra"]]
+    return pdf, left
+
+
+def _fill(pdf):
+    return _taken(pdf)[0][["doc_id", "sources", "size", "passes", "order", "extra"]]
+
+
+def _rest(pdf):
+    pdf, left = _taken(pdf)
+    pdf["rest"] = left
+    return pdf[["sources", "rest"]].head(1)
 
 
 def _beside(df: DataFrame, rows: int) -> DataFrame:
@@ -146,16 +148,16 @@ def _beside(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_PATTERNS else df
 
 
-def _rounds(rows: DataFrame, left: dict[tuple[str, ...], int], most: int) -> dict[tuple[str, ...], tuple[list[int], int]]:
+def _rounds(rows: DataFrame, left: dict[tuple[str, ...], int], most: dict[tuple[str, ...], int]) -> dict[tuple[str, ...], tuple[list[int], int]]:
     """For each pattern the sizes up to which documents get one more pass each, and what is left then.
 
     Only documents that fit what is left can be chosen for it. Where even all of them are too few,
-    as beside one very long document, all are taken and the rest is sought once more.
+    as beside one very long document, all are taken and the rest is sought once more, up to ``most`` times.
     """
     spark = rows.sparkSession
     done = {p: ([], n) for p, n in left.items()}
-    for _ in range(most):
-        open_ = [(list(p), n) for p, (_, n) in done.items() if n]
+    while True:
+        open_ = [(list(p), n) for p, (up_to, n) in done.items() if n and len(up_to) < most[p]]
         if not open_:
             break
         words_left = spark.createDataFrame(open_, "sources array<string>, left long")
@@ -172,6 +174,54 @@ def _rounds(rows: DataFrame, left: dict[tuple[str, ...], int], most: int) -> dic
     return done
 
 
+def _ends(dealt: DataFrame, left: dict[tuple[str, ...], int]) -> tuple[dict[tuple[str, ...], list], dict[tuple[str, ...], int]]:
+    """For each pattern the steps that take what is left, and what no document fits at last.
+
+    A step is a size, the bucket where the share ends, and what is left there: documents of up to that
+    size are taken in all buckets since the last step, and one by one in its own. What a longer
+    document left open there is sought in the next step among the later buckets, by documents that
+    still fit. A step goes on by a bucket at least, and each is two small jobs.
+    """
+    spark = dealt.sparkSession
+    steps, open_ = {p: [] for p in left}, {p: (n, -1) for p, n in left.items() if n}
+    left = dict(left)
+    before = Window.partitionBy("sources").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    past = F.col("start") + F.col("tokens") > F.col("left")
+    while open_:
+        state = [(list(p), n, after) for p, (n, after) in open_.items()]
+        state = _beside(spark.createDataFrame(state, "sources array<string>, left long, after long"), len(state))
+        found = (
+            dealt.join(state, "sources")
+            .where("bucket > after AND size <= left")
+            .groupBy("sources", "bucket", "left")
+            .agg(F.sum("size").alias("tokens"))
+            .withColumn("start", F.coalesce(F.sum("tokens").over(before), F.lit(0)))
+            .groupBy("sources")
+            .agg(
+                F.sum("tokens").alias("tokens"),
+                F.min(F.when(past, F.struct("bucket", (F.col("left") - F.col("start")).alias("need")))).alias("end"),
+            )
+            .collect()
+        )
+        ended = []
+        for r in found:
+            p, end = tuple(r["sources"]), r["end"]
+            n = open_[p][0]
+            steps[p].append((n, end["bucket"] if end else None, end["need"] if end else 0))
+            left[p] = end["need"] if end else n - r["tokens"]
+            if left[p] and end:
+                ended.append((list(p), n, end["bucket"], left[p]))
+        open_ = {}
+        if ended:
+            here = _beside(spark.createDataFrame(ended, "sources array<string>, left long, bucket long, need long"), len(ended))
+            rows = dealt.join(here, ["sources", "bucket"]).where("size <= left")
+            rest = rows.select("sources", "order", "doc_id", "size", "need").groupBy("sources")
+            for r in rest.applyInPandas(_rest, "sources array<string>, rest long").collect():
+                left[tuple(r["sources"])] = r["rest"]
+            open_ = {tuple(p): (left[tuple(p)], bucket) for p, _, bucket, _ in ended if left[tuple(p)]}
+    return steps, left
+
+
 def mix(
     docs: DataFrame,
     weights: dict[str, float] | None = None,
@@ -192,7 +242,9 @@ def mix(
 
     Sources are part of the mix's definition: the driver holds a number for each source and pattern,
     never documents. Documents are ordered by a hash of seed and id, in buckets, so a source may hold
-    any share of the rows; only the few buckets where a source's share ends are looked at row by row.
+    any share of the rows; only the buckets where a source's share ends are looked at row by row. What a
+    long document leaves open there is filled from the later buckets until nothing fits, and a document
+    (with its repeated rows) that passes the end by less than is open is taken last.
     Repeated rows are documents of their own, documents without words are taken 0 times, empty tables
     give no rows, and other columns may have any name.
     """
@@ -224,50 +276,68 @@ def mix(
     for (pattern, _), tokens in flow.items():
         given[pattern] += tokens
     full = {p: divmod(given[p], t) if t else (0, 0) for p, t in patterns.items()}
-    rounds = _rounds(rows, {p: left for p, (_, left) in full.items()}, most)
-    plan = [
-        (list(p), full[p][0], *rounds[p], sum(sizes[s] for s in p), float(sum(target[s] for s in p)))
-        for p in patterns
-    ]
-    plan = spark.createDataFrame(
-        plan, "sources array<string>, passes long, up_to array<long>, left long, source_size long, target double"
+    rounds = _rounds(
+        rows, {p: left for p, (_, left) in full.items()}, {p: most - passes for p, (passes, _) in full.items()}
     )
-    plan = _beside(plan, len(patterns))
-
+    plan = [(list(p), full[p][0], rounds[p][0]) for p in patterns]
+    plan = _beside(spark.createDataFrame(plan, "sources array<string>, passes long, up_to array<long>"), len(patterns))
     buckets = max(1, -(-sum(r["n"] for r in found) // rows_per_bucket))
-    dealt = rows.join(plan.select("sources", "passes", "up_to", "left"), "sources")
     more = F.size(F.filter("up_to", lambda most_words: most_words >= F.col("size")))
-    dealt = dealt.withColumn("passes", F.col("passes") + more).drop("up_to")
-    dealt = dealt.withColumn("bucket", F.pmod(F.xxhash64(F.col("order")), F.lit(buckets)))
-    # A document larger than all that is left can't be part of it.
-    columns = ["doc_id", "sources", "size", "passes"]
-    large = dealt.where(F.col("size") > F.col("left")).select(*columns, F.lit(0).cast("long").alias("extra"))
-    dealt = dealt.where(F.col("size") <= F.col("left"))
-    before = Window.partitionBy("sources").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    near = Window.partitionBy("sources").orderBy("bucket").rowsBetween(-END_BUCKETS, 0)
-    within = (F.col("start") < F.col("left")) & (F.col("left") < F.col("start") + F.col("tokens"))
-    ends = (
-        dealt.groupBy("sources", "bucket", "left")
-        .agg(F.sum("size").alias("tokens"))
-        .withColumn("start", F.coalesce(F.sum("tokens").over(before), F.lit(0)))
-        # What is left where the share ends, seen from there and the next buckets.
-        .withColumn("need", F.max(F.when(within, F.col("left") - F.col("start"))).over(near))
-        .select("sources", "bucket", "need", (F.col("start") + F.col("tokens") <= F.col("left")).alias("whole"))
+    dealt = (
+        rows.join(plan, "sources")
+        .withColumn("passes", F.col("passes") + more)
+        .withColumn("bucket", F.pmod(F.xxhash64(F.col("order")), F.lit(buckets)).cast("long"))
+        .drop("up_to")
     )
-    dealt = dealt.drop("left").join(ends, ["sources", "bucket"])
-    clear = dealt.where("need IS NULL").select(*columns, F.col("whole").cast("long").alias("extra"))
+    # A document may be taken once more if it has words, and not as often as a document may be.
+    can = (F.col("size") > 0) & (F.col("passes") < most)
+    steps, left = _ends(dealt.where(can), {p: n for p, (_, n) in rounds.items()})
+    ends = [(list(p), steps[p], left[p], sum(sizes[s] for s in p), float(sum(target[s] for s in p))) for p in patterns]
+    ends = spark.createDataFrame(
+        ends,
+        "sources array<string>, steps array<struct<up_to:long,bucket:long,need:long>>, left long, source_size long, target double",
+    )
+    ends = _beside(ends, len(patterns))
+    # The first step that ends here or later; the last may take all buckets.
+    later = F.filter("steps", lambda s: s["bucket"].isNull() | (s["bucket"] >= F.col("bucket")))
+    dealt = dealt.join(ends.select("sources", "steps"), "sources").withColumn("step", F.get(later, F.lit(0))).drop("steps")
+    fits = F.coalesce(can & (F.col("size") <= F.col("step.up_to")), F.lit(False))
+    here = F.coalesce(F.col("step.bucket") == F.col("bucket"), F.lit(False))
+    columns = ["doc_id", "sources", "size", "passes", "order"]
+    clear = dealt.where(~(fits & here)).select(*columns, fits.cast("long").alias("extra"))
     last = (
-        dealt.where("need IS NOT NULL")
-        .select(*columns, "bucket", "order", "need")
-        .groupBy("sources")
+        dealt.where(fits & here)
+        .select(*columns, "bucket", F.col("step.need").alias("need"))
+        .groupBy("sources", "bucket")
         .applyInPandas(
-            _fill, f"doc_id {dict(rows.dtypes)['doc_id']}, sources array<string>, size long, passes long, extra long"
+            _fill, f"doc_id {dict(rows.dtypes)['doc_id']}, sources array<string>, size long, passes long, order long, extra long"
         )
     )
+    taken = clear.unionByName(last)
+    over = [(list(p), n) for p, n in left.items() if n]
+    if over:
+        over = _beside(spark.createDataFrame(over, "sources array<string>, left long"), len(over))
+        over = (
+            taken.where(can & (F.col("extra") == 0))
+            .join(over, "sources")
+            .where("size < 2 * left")
+            .groupBy("sources", "size", "order", "left")
+            .agg(F.count(F.lit(1)).alias("n"))
+            .where("size * n < 2 * left")
+            .groupBy("sources")
+            .agg(F.min(F.struct(F.col("size") * F.col("n"), "size", "order")).alias("least"))
+            .select("sources", "least.size", "least.order")
+            .collect()
+        )
+    if over:
+        one = spark.createDataFrame(
+            [(r["sources"], r["size"], r["order"], 1) for r in over], "sources array<string>, size long, order long, one long"
+        )
+        taken = taken.join(_beside(one, len(over)), ["sources", "size", "order"], "left").withColumn(
+            "extra", F.when(can, F.greatest("extra", F.coalesce("one", F.lit(0)))).otherwise(F.col("extra"))
+        )
     return (
-        clear.unionByName(large)
-        .unionByName(last)
-        .join(plan.select("sources", "source_size", "target"), "sources")
+        taken.join(ends.select("sources", "source_size", "target"), "sources")
         .select(
             "doc_id",
             F.transform("sources", lambda s: F.when(s != "~", F.substr(s, F.lit(2)))).alias("sources"),

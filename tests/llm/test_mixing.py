@@ -69,6 +69,26 @@ def test_sources_come_near_their_targets(spark):
     assert len(ids) == len(rows)
 
 
+def test_what_a_long_document_leaves_open_is_filled(spark):
+    rows = []
+    for s in range(12):
+        rows += [(s * 100 + i, "w " * (400 if i == 0 else 10), f"s{s}") for i in range(61)]
+    rows += [(10_000 + i, "w " * 10, "other") for i in range(1200)]
+    weights = {f"s{s}": 1 for s in range(12)} | {"other": 36}
+    # 500 words of each source: its buckets hold a few documents, and the long one is skipped or not.
+    for s, (_, target, words) in taken(mix(documents(spark, rows), weights, rows_per_bucket=4)).items():
+        assert abs(words - target) <= 5, s
+
+
+def test_one_document_past_the_end(spark):
+    rows = [(1, "w " * 100, "a"), (1, "w " * 100, "a"), (2, "w " * 70, "a"), (3, "w " * 270, "b")]
+    # 135 words of a: the one of 70, and neither of 100, which would take both its rows.
+    got = taken(mix(documents(spark, rows), {"a": 1, "b": 3}, rows_per_bucket=1))
+    assert got["a"] == (270, 135.0, 100) or got["a"] == (270, 135.0, 70)
+    rows = [(1, "w " * 100, "a"), (2, "w " * 100, "b")]
+    assert [taken(mix(documents(spark, rows), {"a": a, "b": b}))["a"][2] for a, b in ((2, 1), (3, 7))] == [100, 100]
+
+
 def test_overlapping_sources(spark):
     rows = [(i, "w " * 10, ["a"] if i < 10 else ["a", "b"]) for i in range(20)]
     docs = documents(spark, rows, "doc_id long, text string, source array<string>")

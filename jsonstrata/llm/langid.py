@@ -249,15 +249,20 @@ def label_words(words: Words, model: Model, switch: float) -> np.ndarray:
 
 
 def _judge(texts: list[str], model: Model, switch: float) -> tuple[Words, np.ndarray, np.ndarray, np.ndarray]:
-    """The words, the language number of each, and of each text the language number and its share of the letters."""
+    """The words, the language number of each, and of each text the language number and its share of the letters.
+
+    Letters of scripts that no language is written in are no language's.
+    """
     words = Words(texts)
     label = label_words(words, model, switch)
+    known = model.written[words.script].any(axis=1)
     share = np.zeros((len(texts), len(model.langs) + 1))
-    if model.langs:
-        np.add.at(share, (words.text, label), words.letters)
-    total = share.sum(axis=1)
-    best = np.where(total > 0, share.argmax(axis=1), len(model.langs))
-    score = np.divide(share[np.arange(len(texts)), best], total, out=np.zeros(len(texts)), where=total > 0)
+    np.add.at(share, (words.text[known], label[known]), words.letters[known])
+    total = np.bincount(words.text, words.letters, len(texts))
+    most = share.max(axis=1)
+    best = np.where(most > 0, share.argmax(axis=1), len(model.langs))
+    score = np.divide(most, total, out=np.zeros(len(texts)), where=total > 0)
+    label[best[words.text] == len(model.langs)] = len(model.langs)
     return words, label, best, score
 
 
@@ -266,7 +271,8 @@ def reject(
 ) -> DataFrame:
     """The rows, with all their columns, whose text has a language with ``min_score`` of its letters.
 
-    Null texts and texts without letters go. The rest is as in :func:`identify`.
+    Null texts, texts without letters, and texts mostly in scripts that no language is written in go.
+    The rest is as in :func:`identify`.
     """
     ready(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -287,9 +293,11 @@ def identify(
 ) -> DataFrame:
     """The language of every whole text: (doc_id, lang_pred, score, spans).
 
-    ``score`` is the predicted language's share of the letters, from 0 to 1. A span has code points
-    of the lower-case text, its end exclusive. A text that is null or has no letter is ``und`` with
-    score 0 and no span; so is every text if the model knows no language. Rows are read once and
+    ``score`` is the predicted language's share of the letters, from 0 to 1; those of scripts that no
+    language is written in count as letters but not for the language, though a span may hold them. A
+    span has code points of the lower-case text, its end exclusive. A text that is null or has no
+    letter is ``und`` with score 0 and no span; so is every text if the model knows no language. A text
+    of such scripts alone is ``und`` with score 0 and a span. Rows are read once and
     independent of each other, so repeated rows, very long texts and a source of any size need
     nothing special. Other columns aren't read and may have any name.
     """

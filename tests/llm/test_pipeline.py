@@ -36,6 +36,13 @@ def test_stages_keep_the_columns_and_do_their_work(spark, docs):
     assert rows.count() == kept.count() and rows.select("shard").distinct().count() <= corpus_pipeline.SHARDS
 
 
+def test_language_stage_rejects_a_script_that_it_did_not_learn(spark, docs):
+    some = docs.select("doc_id", "text", "source", "lang").where("text IS NOT NULL AND lang IS NOT NULL")
+    foreign = documents(spark, [(-1, "Это русский текст", "s", None), (-2, "这是一个文本", "s", None)]).select(some.columns)
+    kept = corpus_pipeline.language_id(spark, some.unionByName(foreign), SF_DIR)
+    assert kept.where("doc_id < 0").count() == 0 and kept.count() > 0.9 * some.count()
+
+
 def test_run_writes_every_stage(spark):
     rows = corpus_pipeline.run(spark, SF_DIR)
     assert rows.groupBy("shard", "slot").count().where("count > 1").count() == 0 and rows.count() > 0

@@ -1,14 +1,16 @@
-"""Repeated byte strings by bucket-pointer refinement.
+"""Repeated byte strings by buckets of blocks and one refinement.
 
-Suffixes are first dealt to buckets by their leading q-gram, and a bucket is refined by the bucket
-identifiers of its suffixes at later offsets. With q half the length of the sought strings, one
-refinement tells whole strings apart, and the identifiers it makes serve the next one in turn.
+Bucket-pointer refinement deals suffixes to buckets by their leading q-gram and refines a bucket, round
+after round, by the bucket identifiers of its suffixes at later offsets. Here identifiers are hashes of
+q-grams, with q half the length of the sought strings, so that one refinement tells whole strings
+apart. There are no further rounds, and no identifiers of one are used in another.
 
-Refining every suffix would move many times the text. So the strings that start at neighbouring bytes
+Refining every suffix would move many times the text: an entry for a string at each byte has 22 bytes,
+in every round. So the strings that start at neighbouring bytes
 and share the least identifier among their q-grams form a block, which stands in that q-gram's
 bucket. Equal text has equal blocks, except where it begins or ends. In a bucket of equal blocks all
-strings are equal at once and it is finished; a bucket with different blocks is refined: its strings
-come back with the identifiers at both offsets, and equal pairs of identifiers meet.
+strings are equal at once and it is finished; a bucket with different blocks is refined: the
+identifiers of its strings at both offsets are hashed again from the text, and equal pairs meet.
 """
 
 from __future__ import annotations

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from jsonstrata.llm import decontamination, kdtree, langid, lines, mixing, neardup, secrets, sentences, sharding, suffixes
+from jsonstrata.llm import decontamination, kdtree, langid, lines, mixing, neardup, personal, secrets, sentences, sharding, suffixes
 from jsonstrata.llm.frames import table
 from jsonstrata.queries.frames import Query
 
@@ -211,6 +211,77 @@ SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id, doc_id = component_id
 FROM sets JOIN lowest ON doc_id = a"""
 
 
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal.find_personal(table(spark, sf_dir, "documents"))
+    text = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    of = lambda kinds: F.filter("spans", lambda s: s["kind"].isin(*kinds))
+    return found.select(
+        "doc_id",
+        *(F.size(of([kind.name])).cast("long").alias(f"n_{kind.name}") for kind in personal.KINDS),
+        F.sha2(text(of(personal.BASE)).cast("binary"), 256).alias("base_sha256"),
+        text(F.col("spans")).alias("spans"),
+        F.coalesce(F.array_max(F.transform("spans", lambda s: s["score"])), F.lit(0)).cast("long").alias("max_score"),
+    )
+
+
+#: The plain patterns, the group that is tested, and the test, apart from those of the operator.
+_OP11_KINDS = {
+    "email": (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "true"),
+    "ip": (
+        r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+        "len(list_filter(string_split(m, '.'), lambda p: len(ltrim(p, '0')) > 3 OR try_cast('0' || right(p, 3) AS INT) > 255)) = 0",
+    ),
+    "card": (
+        r"[0-9]([\x20-]?[0-9])+",
+        "len(translate(m, ' -', '')) BETWEEN 16 AND 19 AND list_sum(list_transform(range(1, len(translate(m, ' -', '')) + 1),"
+        " lambda i: CASE WHEN i % 2 = 1 THEN reverse(translate(m, ' -', ''))[i]::INT"
+        " ELSE 2 * reverse(translate(m, ' -', ''))[i]::INT - 9 * (reverse(translate(m, ' -', ''))[i]::INT > 4)::INT END)) % 10 = 0",
+    ),
+    "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", "len(regexp_replace(m, '[^0-9]', '', 'g')) BETWEEN 8 AND 15"),
+    "iban": (
+        r"[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,}|(?:\x20[A-Z0-9]{4})+(?:\x20[A-Z0-9]{1,3})?)",
+        "len(replace(m, ' ', '')) BETWEEN 15 AND 34 AND list_reduce(list_prepend(0, list_transform("
+        "string_split_regex(substr(replace(m, ' ', ''), 5) || left(replace(m, ' ', ''), 4), ''), lambda c: ascii(c))),"
+        " lambda a, c: CASE WHEN c < 65 THEN (a * 10 + c - 48) % 97 ELSE (a * 100 + c - 55) % 97 END) = 1"
+        " AND NOT regexp_matches(b, '[A-Za-z0-9]$') AND NOT regexp_matches(f, '^[A-Za-z0-9]')",
+    ),
+    "ssn": (
+        r"[0-9]{3}-[0-9]{2}-[0-9]{4}",
+        "NOT regexp_matches(m, '^(000|666|9)|-00-|-0000$') AND NOT regexp_matches(b, '[A-Za-z0-9]$') AND NOT regexp_matches(f, '^[A-Za-z0-9]')",
+    ),
+}
+
+
+def _op11_sql() -> str:
+    parts, judged, counts = [], [], []
+    for number, kind in enumerate(personal.KINDS):
+        pattern, valid = _OP11_KINDS[kind.name]
+        near = personal.near_pattern(kind)
+        lower = f"translate({{}}, '{personal.UPPER}', '{personal.UPPER.lower()}')"
+        raised = " OR ".join(f"regexp_matches({lower.format(x)}, '{near}')" for x in (f"right(b, {personal.NEAR})", f"left(f, {personal.NEAR})"))
+        parts.append(f"""
+  SELECT r, {number} AS rank, unnest(range(1, len(whole) + 1)) AS i, gaps, whole
+  FROM (SELECT r, string_split_regex(t, '{pattern}') AS gaps, regexp_extract_all(t, '{pattern}', 0) AS whole
+        FROM docs WHERE regexp_matches(t, '{pattern}'))""")
+        judged.append(f"""
+  SELECT r, rank, '{kind.name}' AS kind, stop - len(m) AS start, stop, {kind.score} + CASE WHEN {raised} THEN {personal.NEARBY} ELSE 0 END AS score
+  FROM placed WHERE rank = {number} AND CASE WHEN rank = {number} THEN {valid} END""")
+        counts.append(f"coalesce(count(kind) FILTER (kind = '{kind.name}'), 0)::BIGINT AS n_{kind.name}")
+    spans = "coalesce(string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY rank, start) {}, '')"
+    base = ", ".join(f"'{kind}'" for kind in personal.BASE)
+    return f"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+matched AS ({" UNION ALL ".join(parts)}),
+placed AS (
+  SELECT r, rank, whole[i] AS m, gaps[i] AS b, gaps[i + 1] AS f,
+         (sum(length(gaps[i]) + length(whole[i])) OVER (PARTITION BY r, rank ORDER BY i))::BIGINT AS stop
+  FROM matched),
+held AS ({" UNION ALL ".join(judged)})
+SELECT doc_id, {", ".join(counts)}, sha256({spans.format(f"FILTER (kind IN ({base}))")}) AS base_sha256, {spans.format("")} AS spans,
+       coalesce(max(score), 0)::BIGINT AS max_score
+FROM docs LEFT JOIN (SELECT * FROM held WHERE score >= 40) USING (r) GROUP BY r, doc_id"""
+
+
 CATALOGUE: dict[str, Query] = {
     "op1_language_spans": Query(op1, None),
     "op2_site_line_dedup": Query(op2, OP2_SQL),
@@ -222,5 +293,6 @@ CATALOGUE: dict[str, Query] = {
     "op8_blob_ledger": Query(op8, _op8_sql()),
     "op9_flow_mix": Query(op9, None),
     "op10_similarity_sketch": Query(op10, OP10_SQL),
+    "op11_personal_spans": Query(op11, _op11_sql()),
     "pipeline": Query(corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }

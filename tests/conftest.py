@@ -34,8 +34,3 @@ def spark(tmp_path_factory):
 def prefix():
     """A database prefix that no other test uses."""
     return f"t{uuid.uuid4().hex[:8]}_"
-
-
-def rows(df):
-    """The rows as a sorted list of tuples."""
-    return sorted((tuple(r) for r in df.collect()), key=repr)

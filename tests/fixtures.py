@@ -42,3 +42,8 @@ FROM {prod} LATERAL VIEW OUTER explode(items) t AS item
 
 def messages(spark, rows=None):
     return spark.createDataFrame(MESSAGES if rows is None else rows, MESSAGE_SCHEMA)
+
+
+def rows(df):
+    """The rows as a sorted list of tuples."""
+    return sorted((tuple(r) for r in df.collect()), key=repr)

@@ -1,8 +1,7 @@
 import pytest
 from pyspark import StorageLevel
 
-from conftest import rows
-from fixtures import PROD_SCHEMA, messages
+from fixtures import PROD_SCHEMA, messages, rows
 from jsonstrata.operators.sqlflow import Stage, StagedFlow, run_sql, run_staged
 from jsonstrata.plans.files import gold_tag, parse_schema, raw_tag, read_flow, read_text
 from jsonstrata.plans.layers import load_batch

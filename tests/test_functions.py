@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from conftest import rows
+from fixtures import rows
 from jsonstrata.functions.names import DuplicateNameError, clean_type, split_names, strip_prefix
 from jsonstrata.functions.scalars import message_base_name, message_id, parse_event_time
 

@@ -1,8 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
-from fixtures import BODY, FLATTEN, PROD_SCHEMA, messages
+from fixtures import BODY, FLATTEN, PROD_SCHEMA, messages, rows
 from jsonstrata.plans import layers
 from jsonstrata.plans.layers import load_batch
 from jsonstrata.plans.spec import GoldTag, LoadPlan, RawTag

@@ -2,8 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
-from conftest import rows
-from fixtures import BODY, PROD_SCHEMA, messages
+from fixtures import BODY, PROD_SCHEMA, messages, rows
 from jsonstrata.functions.names import strip_prefix
 from jsonstrata.operators.audit import audit_rows, audit_summary
 from jsonstrata.operators.fanout import fan_out, fan_out_counts

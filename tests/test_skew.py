@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from fixtures import rows
 from jsonstrata.operators.gold import insert_only, rows_not_in_target
 from jsonstrata.operators.progress import after_watermark
 from jsonstrata.operators.skew import (

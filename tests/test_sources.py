@@ -3,8 +3,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
-from fixtures import messages
+from fixtures import messages, rows
 from jsonstrata.session import shared_folder
 from jsonstrata.sinks.signals import archive_payloads
 from jsonstrata.sinks.tables import BatchTable

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from jsonstrata.llm import decontamination, kdtree, langid, lines, mixing, neardup, personal, secrets, sentences, sharding, suffixes
+from jsonstrata.llm import covertree, decontamination, kdtree, langid, lines, mixing, neardup, personal, secrets, sentences, sharding, suffixes
 from jsonstrata.llm.frames import table
 from jsonstrata.queries.frames import Query
 
@@ -282,6 +282,32 @@ SELECT doc_id, {", ".join(counts)}, sha256({spans.format(f"FILTER (kind IN ({bas
 FROM docs LEFT JOIN (SELECT * FROM held WHERE score >= 40) USING (r) GROUP BY r, doc_id"""
 
 
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").withColumn("label", label)
+    return covertree.hard_negatives(rows, rows.where("vec_id % 50 = 0"))
+
+
+OP12_SQL = """
+WITH v AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+         list_sum(list_transform(list_zip(a.e, c.e), lambda p: p[1] * p[2]))::BIGINT AS score
+  FROM v a JOIN v c ON a.vec_id <> c.vec_id WHERE a.vec_id % 50 = 0),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) <= 3"""
+
+
 CATALOGUE: dict[str, Query] = {
     "op1_language_spans": Query(op1, None),
     "op2_site_line_dedup": Query(op2, OP2_SQL),
@@ -294,5 +320,6 @@ CATALOGUE: dict[str, Query] = {
     "op9_flow_mix": Query(op9, None),
     "op10_similarity_sketch": Query(op10, OP10_SQL),
     "op11_personal_spans": Query(op11, _op11_sql()),
+    "op12_cover_tree_negatives": Query(op12, OP12_SQL),
     "pipeline": Query(corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }

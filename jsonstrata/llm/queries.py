@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from jsonstrata.llm import covertree, decontamination, kdtree, langid, lines, mixing, neardup, personal, secrets, sentences, sharding, suffixes
+from jsonstrata.llm import covertree, decontamination, kdtree, langid, lines, mixing, neardup, personal, secrets, sentences, sharding, suffixes, trie
 from jsonstrata.llm.frames import table
 from jsonstrata.queries.frames import Query
 
@@ -308,6 +308,48 @@ WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * po
 QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) <= 3"""
 
 
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = trie.steps(table(spark, sf_dir, "conversations"))
+    return trie.prefix_trie(*trie.with_heads(turns))
+
+
+#: CRC-32 bit by bit: each byte enters with the first of its eight steps.
+OP13_SQL = """
+WITH turns AS (
+  SELECT conv_id, turn, md5(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS k,
+         strlen(coalesce(text, '')) AS n_bytes
+  FROM conversations WHERE conv_id IS NOT NULL),
+steps AS (SELECT conv_id, k, n_bytes, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, k) AS at FROM turns),
+convs AS (
+  SELECT DISTINCT conv_id, conv_id - conv_id % 5 AS head,
+         xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(
+           string_split_regex(conv_id::VARCHAR, ''), lambda c: [ascii(c)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+           lambda a, v: xor(xor(a, v) >> 1, CASE WHEN xor(a, v) % 2 = 1 THEN 3988292384 ELSE 0 END))) % 9 AS h
+  FROM steps),
+built AS (
+  SELECT c.conv_id, s.at AS depth, k, n_bytes FROM convs c JOIN steps s ON s.conv_id = c.head AND s.at <= c.h
+  UNION ALL
+  SELECT c.conv_id, s.at - c.h + (SELECT count(*) FROM steps t WHERE t.conv_id = c.head AND t.at <= c.h), k, n_bytes
+  FROM convs c JOIN steps s ON s.conv_id = c.conv_id AND s.at > c.h),
+paths AS (
+  SELECT conv_id, depth, n_bytes, string_agg(k, '') OVER (PARTITION BY conv_id ORDER BY depth) AS p FROM built
+  UNION ALL SELECT conv_id, 0, 0, '' FROM convs),
+lengths AS (SELECT conv_id, max(depth) AS length FROM paths GROUP BY conv_id),
+nodes AS (
+  SELECT p, depth, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * min(n_bytes) AS saved,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (depth = length), '')) AS ends
+  FROM paths JOIN lengths USING (conv_id) GROUP BY p, depth),
+linked AS (
+  SELECT n.*, u.p AS above, u.conv_id AS parent FROM nodes n LEFT JOIN nodes u ON u.depth = n.depth - 1 AND u.p = left(n.p, 32 * u.depth)),
+children AS (SELECT above, count(*) AS n FROM linked WHERE depth > 0 GROUP BY above),
+totals AS (
+  SELECT a.p, sum(n.saved) AS saved, count(*) FILTER (c.n IS NULL) AS leaves
+  FROM nodes n JOIN paths a ON a.conv_id = n.conv_id AND a.depth <= n.depth LEFT JOIN children c ON c.above = n.p GROUP BY a.p)
+SELECT conv_id, depth::BIGINT AS depth, parent AS parent_conv_id, n_convs, coalesce(c.n, 0)::BIGINT AS n_children, t.leaves::BIGINT AS n_leaves,
+       t.saved::BIGINT AS saved_tokens, ends AS ends_sha256
+FROM linked l JOIN totals t ON t.p = l.p LEFT JOIN children c ON c.above = l.p"""
+
+
 CATALOGUE: dict[str, Query] = {
     "op1_language_spans": Query(op1, None),
     "op2_site_line_dedup": Query(op2, OP2_SQL),
@@ -321,5 +363,6 @@ CATALOGUE: dict[str, Query] = {
     "op10_similarity_sketch": Query(op10, OP10_SQL),
     "op11_personal_spans": Query(op11, _op11_sql()),
     "op12_cover_tree_negatives": Query(op12, OP12_SQL),
+    "op13_prefix_trie": Query(op13, OP13_SQL),
     "pipeline": Query(corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }

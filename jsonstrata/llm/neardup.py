@@ -32,8 +32,8 @@ MISS = 1e-6
 #: Least estimate of a pair worth an exact check, in standard deviations below the threshold: a linked
 #: pair is estimated lower with a probability of MISS.
 MARGIN = 4.75
-#: Documents of a bucket that are compared as one block.
-BLOCK = 256
+#: Documents of a bucket that a task holds, while others pass by.
+BLOCK = 8192
 
 
 def band_size(percent: int) -> int:
@@ -137,46 +137,81 @@ def _linked(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFra
 
 
 def _comparer(percent: int, size: int):
-    """Pairs of different groups that are close by their sketches, at the first band they share."""
+    """Pairs of different groups that are close by their sketches, at the first band they share.
+
+    Rows come in the order of (key, block, visits): the members of a block first, which are held, and
+    then those that visit it, which pass by.
+    """
     j = percent / 100
     bands = WIDTH // size
     least = WIDTH * (j - MARGIN * (j * (1 - j) / WIDTH) ** 0.5) + bands * (8 - size)
 
-    def compare(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-        node, n, group, block = (rows.column(c).to_numpy() for c in ("node", "n", "component", "block"))
-        band, split = rows.column("band")[0].as_py(), rows.column("first")[0].as_py() != rows.column("second")[0].as_py()
-        words = rows.column("sketch").combine_chunks().flatten().to_numpy().reshape(len(node), bands)
-        lefts, rights = [], []
-        for x in range(len(node) - 1):
-            y = np.arange(x + 1, len(node))
-            other = (group[y] != group[x]) & (100 * np.minimum(n[y], n[x]) >= percent * np.maximum(n[y], n[x]))
-            if split:
-                other &= block[y] != block[x]
-            y = y[other]
-            if band:
-                y = y[~(words[y, :band] == words[x, :band]).any(axis=1)]
-            equal = (words[y].view(np.uint8) == words[x].view(np.uint8)).sum(axis=1)
+    def arrays(rows: pa.Table) -> dict[str, np.ndarray]:
+        out = {c: rows.column(c).to_numpy() for c in ("node", "n", "component", "band", "main")}
+        words = rows.column("sketch").combine_chunks().flatten().to_numpy()
+        return {**out, "words": words.reshape(rows.num_rows, bands)}
+
+    def compare(held: dict[str, np.ndarray], visitors: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        lefts, rights = [held["node"][:0]], [held["node"][:0]]
+        bytes_ = held["words"].view(np.uint8)
+        for x, node in enumerate(visitors["node"]):
+            n, words, band = visitors["n"][x], visitors["words"][x], visitors["band"][x]
+            # Members of the main group visit nobody; two others meet twice and are compared once.
+            ok = (held["component"] != visitors["component"][x]) & (held["main"] | (held["node"] > node))
+            ok &= 100 * np.minimum(held["n"], n) >= percent * np.maximum(held["n"], n)
+            y = np.flatnonzero(ok)
+            if band and len(y):
+                y = y[~(held["words"][y, :band] == words[:band]).any(axis=1)]
+            equal = (bytes_[y] == words.view(np.uint8)).sum(axis=1)
             y = y[equal >= least]
-            lefts.append(np.full(len(y), node[x]))
-            rights.append(node[y])
-        none = node[:0]
-        return np.concatenate([none, *lefts]), np.concatenate([none, *rights])
+            lefts.append(np.full(len(y), node))
+            rights.append(held["node"][y])
+        return np.concatenate(lefts), np.concatenate(rights)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting = None
+        at, parts, held = None, [], None
         for batch in batches:
-            table = pa.Table.from_batches([batch] if waiting is None else [*waiting.to_batches(), batch])
-            key = np.stack([table.column(c).to_numpy() for c in ("key", "first", "second")])
-            edge = np.flatnonzero(np.append(True, (key[:, 1:] != key[:, :-1]).any(axis=0)))
-            for i, j in zip(edge[:-1], edge[1:], strict=True):
-                yield _pairs(*compare(table.slice(i, j - i)))
-            waiting = table.slice(edge[-1])
-        if waiting is not None and waiting.num_rows:
-            yield _pairs(*compare(waiting))
+            key, block, visits = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "block", "visits"))
+            new = (key[1:] != key[:-1]) | (block[1:] != block[:-1]) | (visits[1:] != visits[:-1])
+            edges = [0, *(np.flatnonzero(new) + 1).tolist(), batch.num_rows]
+            for i, j in zip(edges[:-1], edges[1:], strict=True):
+                if i == j:
+                    continue
+                if (key[i], block[i]) != at:
+                    at, parts, held = (key[i], block[i]), [], None
+                part = batch.slice(i, j - i)
+                if not visits[i]:
+                    parts.append(part)
+                    continue
+                if held is None and parts:
+                    held = arrays(pa.Table.from_batches(parts))
+                if held is not None:
+                    yield _pairs(*compare(held, arrays(pa.Table.from_batches([part]))))
 
     return run
 
 
+def open_rows(grouped: DataFrame) -> DataFrame:
+    """Buckets that hold several groups, as rows of blocks: (key, block, visits, main, ...).
+
+    ``grouped`` has (key, component, node, ...). Every member stands in one block of its bucket. Only
+    those outside of the bucket's largest group, the main one, visit all blocks. So a bucket of m
+    members, s of them not of the main group, makes m + s * ceil(m / BLOCK) rows.
+    """
+    mixed = grouped.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    open_ = grouped.join(mixed.where("low <> high").select("key"), "key")
+    groups = open_.groupBy("key", "component").agg(F.count(F.lit(1)).alias("size"))
+    largest = groups.groupBy("key").agg(F.max(F.struct("size", "component")).alias("largest"), F.sum("size").alias("members"))
+    open_ = open_.join(largest, "key").withColumn("main", F.col("component") == F.col("largest.component"))
+    blocks = F.ceil(F.col("members") / F.lit(BLOCK)).cast("int")
+    stays = F.pmod(F.xxhash64("node"), blocks).cast("int")
+    places = F.array(F.struct(stays.alias("block"), F.lit(False).alias("visits")))
+    calls = F.transform(F.sequence(F.lit(0), blocks - 1), lambda b: F.struct(b.alias("block"), F.lit(True).alias("visits")))
+    places = F.when(F.col("main"), places).otherwise(F.concat(places, calls))
+    kept = [c for c in grouped.columns if c != "key"]
+    return open_.select("key", *kept, "main", F.inline(places))
+
+
 def _pairs(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], ["a", "b"])
 
@@ -226,19 +261,10 @@ def near_duplicates(
     settled = keep(components(star_links))
 
     grouped = buckets.join(settled, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    grouped = grouped.select("key", "band", "node", "n", "component", "members")
-    mixed = grouped.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    open_ = grouped.join(mixed.where("low <> high").select("key"), "key")
-    blocks = F.ceil(F.col("members") / F.lit(BLOCK))
-    open_ = open_.withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int"))
-    open_ = open_.withColumn("other", F.explode(F.sequence(F.lit(0), (blocks - 1).cast("int"))))
-    open_ = open_.select(
-        "key", F.least("block", "other").alias("first"), F.greatest("block", "other").alias("second"),
-        "block", "band", "node", "n", "component",
-    )
-    open_ = open_.join(nodes.select("node", "sketch"), "node")
-    group = ["key", "first", "second"]
-    spread = open_.repartition(*group).sortWithinPartitions(*group, "node")
+    grouped = grouped.select("key", "band", "node", "n", "component")
+    rows_of = open_rows(grouped).join(nodes.select("node", "sketch"), "node")
+    group = ["key", "block"]
+    spread = rows_of.repartition(*group).sortWithinPartitions(*group, "visits", "node")
     crossing = keep(spread.mapInArrow(_comparer(percent, size), "a long, b long").distinct())
     cross_links = _linked(crossing, some, shingle_words, percent)
     star_edges = settled.select(F.col("node").alias("a"), F.col("component").alias("b"))

@@ -68,3 +68,12 @@ def test_components_of_chains_and_stars(spark):
     found = {r["node"]: r["component"] for r in components(spark.createDataFrame(chain, "a long, b long")).collect()}
     assert found == {i: 0 for i in range(41)} | {i: 100 for i in range(100, 130)}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_open_buckets_make_rows_in_proportion(spark):
+    """A bucket of one large group and a stray: rows of the order of its members."""
+    rows = [(1, 0, i, 9, 1) for i in range(5000)] + [(1, 0, 9000, 9, 9000)] + [(2, 0, i, 9, 1) for i in range(50)]
+    grouped = spark.createDataFrame(rows, "key long, band byte, node long, n long, component long")
+    found = neardup.open_rows(grouped)
+    assert found.count() == 5002 and {r["key"] for r in found.select("key").distinct().collect()} == {1}
+    assert [r["node"] for r in found.where("visits").collect()] == [9000]

@@ -260,9 +260,11 @@ def _judge(texts: list[str], model: Model, switch: float) -> tuple[Words, np.nda
     np.add.at(share, (words.text[known], label[known]), words.letters[known])
     total = np.bincount(words.text, words.letters, len(texts))
     most = share.max(axis=1)
-    best = np.where(most > 0, share.argmax(axis=1), len(model.langs))
+    # With letters of other scripts alone any language is as good: the first one, with score 0.
+    none = np.where(total > 0, 0 if model.langs else len(model.langs), len(model.langs))
+    best = np.where(most > 0, share.argmax(axis=1), none)
     score = np.divide(most, total, out=np.zeros(len(texts)), where=total > 0)
-    label[best[words.text] == len(model.langs)] = len(model.langs)
+    label[most[words.text] == 0] = len(model.langs)
     return words, label, best, score
 
 
@@ -297,7 +299,7 @@ def identify(
     language is written in count as letters but not for the language, though a span may hold them. A
     span has code points of the lower-case text, its end exclusive. A text that is null or has no
     letter is ``und`` with score 0 and no span; so is every text if the model knows no language. A text
-    of such scripts alone is ``und`` with score 0 and a span. Rows are read once and
+    of such scripts alone has one of the model's languages with score 0, and a span that is ``und``. Rows are read once and
     independent of each other, so repeated rows, very long texts and a source of any size need
     nothing special. Other columns aren't read and may have any name.
     """

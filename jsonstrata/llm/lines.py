@@ -11,11 +11,13 @@ from pyspark.sql import functions as F
 
 from jsonstrata.llm.frames import col, keep
 
-#: Fixed patterns: what is never shown, tags that end a line, and all other tags.
-HIDDEN = r"(?is)<(script|style|title)[^>]*>.*?</(script|style|title)>|<!--.*?-->"
-BREAKS = r"(?i)</?(p|br|li|ul|ol|div|nav|footer|header|article|section|tr|table|h[1-6]|body|html|head)(\s[^>]*)?/?>"
-TAGS = r"<[^>]*>"
-HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://([^/:?#]+)"
+#: Fixed patterns: what is never shown, tags that end a line, and all other tags. What is not closed
+#: is hidden up to the end of the page, and a tag holds no other, so that every pattern reads a page
+#: once.
+HIDDEN = r"(?is)<(?:script|style|title)(?:\s[^<>]*)?>.*?(?:</(?:script|style|title)>|\z)|<!--.*?(?:-->|\z)"
+BREAKS = r"(?i)</?(p|br|li|ul|ol|div|nav|footer|header|article|section|tr|table|h[1-6]|body|html|head)(\s[^<>]*)?/?>"
+TAGS = r"<[^<>]*>"
+HOST = r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/:?#]+)"
 
 
 def text_lines(html: Column) -> Column:
@@ -73,15 +75,13 @@ def drop_site_lines(
         .groupBy("host")
         .agg(F.collect_list(F.struct("a", "b")).alias("dropped"))
     )
-    stays = F.filter(
-        "lines",
-        lambda x: ~F.coalesce(
-            F.array_contains("dropped", F.struct(F.xxhash64(x).alias("a"), F.xxhash64(F.lit(1), x).alias("b"))),
-            F.lit(False),
-        ),
-    )
+    hashed = lambda x: F.struct(F.xxhash64(x).alias("a"), F.xxhash64(F.lit(1), x).alias("b"))
+    # The page's own dropped lines come from one pass over both lists, so few are left to look through.
+    own = F.array_intersect(F.transform("lines", hashed), F.col("dropped"))
+    stays = F.filter("lines", lambda x: ~F.coalesce(F.array_contains("own", hashed(x)), F.lit(False)))
     return (
         lines.join(dropped, "host", "left")
+        .withColumn("own", own)
         .withColumn("stays", stays)
         .select(
             "page_id",

@@ -1,3 +1,6 @@
+import time
+
+import pytest
 from pyspark.sql import functions as F
 
 from jsonstrata.llm.lines import drop_site_lines
@@ -27,3 +30,20 @@ def test_ratio_is_by_host(spark):
     got = drop_site_lines(pages(spark, rows)).groupBy("host").agg(F.sum("n_removed").alias("n"), F.count("*").alias("pages")).collect()
     assert {r["host"]: (r["n"], r["pages"]) for r in got} == {"small.example": (6, 6), "big.example": (0, 100)}
     assert drop_site_lines(pages(spark, [])).count() == 0
+
+
+@pytest.mark.parametrize("mark", ["<", "<p ", "<!--", "<script>", "<script", "<a <b>", "</", "<div a='<'>"])
+def test_a_long_page_of_marks_takes_linear_time(spark, mark):
+    start = time.monotonic()
+    row = drop_site_lines(pages(spark, [(1, "http://a.example/", "<p>first</p>" + mark * (1_000_000 // len(mark)))])).first()
+    assert time.monotonic() - start < 30 and row["kept"].startswith("first") and row["n_removed"] == 0
+
+
+def test_markup_that_is_not_closed_and_hosts(spark):
+    urls = {"http://user:pw@site.org/a": "site.org", "//site.org/b": "site.org", "https://me@h:8080?x@y": "h", "ftp:/x": "", "mailto:a@b": ""}
+    rows = [(i, url, f"<p>one</p><b>two</b><!-- no {i} end <p>three</p>") for i, url in enumerate(urls)]
+    got = {r["page_id"]: r for r in drop_site_lines(pages(spark, rows), min_pages=99).collect()}
+    assert [got[i]["host"] for i in range(len(urls))] == list(urls.values())
+    assert {r["kept"] for r in got.values()} == {"one\ntwo"}
+    odd = [(1, None, "a < b <p>x</p><style>h</style>y<script src='a'>z"), (2, None, "<scripted>shown"), (2, None, "<scripted>shown")]
+    assert sorted(r["kept"] for r in drop_site_lines(pages(spark, odd)).collect()) == ["a < b\nx\ny", "shown", "shown"]

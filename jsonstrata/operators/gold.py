@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from jsonstrata.functions.names import free_name, quoted
 from jsonstrata.functions.scalars import EVENT_TIME_COLUMN, parse_event_time
+from jsonstrata.operators.membership import Buckets, may_hold
 from jsonstrata.operators.quality import distinct_rows, has_map, project
 from jsonstrata.operators.skew import (
     DEFAULT_LIMITS,
@@ -55,6 +58,30 @@ def rows_not_in_target(
     return project(kept, incoming.columns)
 
 
+def rows_not_in_buckets(
+    incoming: DataFrame,
+    read: Callable[[list[int]], DataFrame],
+    buckets: Buckets,
+    limits: JoinLimits = DEFAULT_LIMITS,
+    filters: DataFrame | None = None,
+    cells: int = 0,
+) -> DataFrame:
+    """``rows_not_in_target`` for a target divided into ``buckets`` of the id.
+
+    ``read`` gives the target's rows in some buckets. The buckets of the batch's ids come first, at
+    most ``buckets.count`` numbers, and the others are not opened. With ``filters`` of the target's
+    ids only the buckets of ids that these may hold are.
+    """
+    key = quoted(buckets.column)
+    ids = incoming.where(F.col(key).isNotNull()).select(key).distinct()
+    if filters is not None:
+        ids = may_hold(ids, filters, buckets.column, cells, limits)
+    wanted = [r["bucket"] for r in ids.select(buckets.of().alias("bucket")).distinct().collect()]
+    if not wanted:
+        return distinct_rows(incoming)
+    return rows_not_in_target(incoming, read(wanted), buckets.column, limits)
+
+
 def insert_only(
     incoming: DataFrame,
     target: DataFrame,

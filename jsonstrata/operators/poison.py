@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
-from functools import reduce
-from operator import or_
 
 from pyspark import inheritable_thread_target
 from pyspark.errors import PySparkException
@@ -15,18 +13,25 @@ from pyspark.sql import functions as F
 #: Bits of the hash after which messages that still share a part are taken together: their hashes are equal.
 DEEPEST = 60
 REASON_CHARS = 500
+# Classes of SQL states that speak of the data, or were raised by the statement itself.
+DATA_STATES = ("21", "22", "23", "P0")
 #: A failing part is divided into 2 to the power of this many parts, which are tried at once.
 BITS = 3
 AT_ONCE = 8
 
 
+def of_data(error: PySparkException) -> bool:
+    """Whether an error comes from what was read; a lost executor or a full disk does not."""
+    return (error.getSqlState() or "").startswith(DATA_STATES)
+
+
 def isolate(messages: DataFrame, attempt: Callable[[DataFrame], object]) -> tuple[DataFrame, DataFrame]:
     """Messages on which ``attempt`` succeeds, and those at fault with a ``reason``.
 
     A part of the messages that fails is divided by a hash of topic, partition and offset until it
     has one message, so a faulty message costs a few rounds of attempts side by side, as many as the
     logarithm of the batch.
-    Nothing but the parts' numbers and error texts comes to the driver. ``messages`` is read by
+    An error that does not come from the data is raised. Nothing but the parts' numbers and error texts comes to the driver. ``messages`` is read by
     every attempt and should be persisted.
     """
     origin = [c for c in ("source", "partition", "offset") if c in messages.columns]
@@ -44,6 +49,8 @@ def isolate(messages: DataFrame, attempt: Callable[[DataFrame], object]) -> tupl
         try:
             attempt(chosen)
         except PySparkException as error:
+            if not of_data(error):
+                raise
             single = (1 << level) >= total and chosen.limit(2).count() < 2
             return str(error)[:REASON_CHARS], single or level >= DEEPEST
         return None
@@ -58,11 +65,14 @@ def isolate(messages: DataFrame, attempt: Callable[[DataFrame], object]) -> tupl
                     continue
                 text, last = found
                 if last:
-                    bad.append((part(level, rest), text))
+                    bad.append((level, rest, text))
                 else:
                     waiting += [(level + BITS, rest + (i << level)) for i in range(1 << BITS)]
-    if not bad:
-        return messages, messages.where(F.lit(False)).withColumn("reason", F.lit(""))
-    faulty = reduce(or_, [condition for condition, _ in bad])
-    reason = F.coalesce(*[F.when(condition, F.lit(text)) for condition, text in bad])
-    return messages.where(~faulty), messages.where(faulty).withColumn("reason", reason)
+    # A row for each faulty part, met by its number: one join for each depth at which parts were found.
+    marked = messages.withColumn("reason", F.lit(None).cast("string"))
+    for level in sorted({level for level, _, _ in bad}):
+        parts = [(rest, text) for at, rest, text in bad if at == level]
+        named = messages.sparkSession.createDataFrame(parts, "_rest bigint, _text string")
+        marked = marked.join(F.broadcast(named), F.pmod(place, F.lit(1 << level)) == F.col("_rest"), "left")
+        marked = marked.withColumn("reason", F.coalesce("reason", "_text")).drop("_rest", "_text")
+    return marked.where(F.col("reason").isNull()).drop("reason"), marked.where(F.col("reason").isNotNull())

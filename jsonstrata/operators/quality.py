@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
-from jsonstrata.functions.names import quoted, split_names
+from jsonstrata.functions.names import free_name, quoted, split_names
 from jsonstrata.functions.scalars import upper_trimmed
 
 
@@ -59,6 +59,19 @@ def distinct_rows(df: DataFrame) -> DataFrame:
     return df.withColumns(keys).dropDuplicates([*plain, *keys]).drop(*keys)
 
 
+def without_repeats(messages: DataFrame, time_column: str, delay: str, keys: Iterable[str] = ("json",)) -> DataFrame:
+    """A stream without messages that it has had within ``delay``, across its batches.
+
+    Messages are the same if their ``keys`` are. The state holds a hash and an expiry for each message
+    until the stream's time is ``delay`` past it, then forgets it: the state is bounded, and a copy that
+    comes later is a message of its own. Messages older than that time are dropped as late.
+    """
+    name = free_name("_repeat", messages.columns)
+    key = F.unhex(F.sha2(F.to_json(F.struct(*map(quoted, keys))), 256))
+    known = messages.withColumn(name, key).withWatermark(time_column, delay)
+    return known.dropDuplicatesWithinWatermark([name]).drop(name)
+
+
 def standardise(df: DataFrame) -> DataFrame:
     """Every column as trimmed upper-case text, then distinct rows."""
     return df.select(

@@ -5,11 +5,10 @@ from __future__ import annotations
 import math
 import time
 from collections.abc import Callable, Iterable, Iterator
-from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import dataclass
 
-from pyspark import StorageLevel, inheritable_thread_target
+from pyspark import StorageLevel
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,13 +16,16 @@ from pyspark.sql import functions as F
 from jsonstrata.functions.names import quoted, strip_prefix
 from jsonstrata.functions.scalars import parse_event_time
 from jsonstrata.operators.audit import audit_rows
-from jsonstrata.operators.gold import history, insert_only
+from jsonstrata.operators.gold import history, insert_only, rows_not_in_buckets
+from jsonstrata.operators.membership import id_filter
 from jsonstrata.operators.metrics import batch_volume
 from jsonstrata.operators.parse import parse_messages, readable, unreadable
-from jsonstrata.operators.poison import isolate
+from jsonstrata.operators.poison import isolate, of_data
 from jsonstrata.operators.progress import after_watermark
+from jsonstrata.operators.ranges import not_covered
 from jsonstrata.operators.quality import split_null_records, standardise
 from jsonstrata.operators.sqlflow import transformed
+from jsonstrata.operators.variants import DOCUMENT_COLUMN, parse_documents, with_documents
 from jsonstrata.plans.spec import (
     GOLD_LAYER,
     INTAKE,
@@ -34,6 +36,7 @@ from jsonstrata.plans.spec import (
     LoadPlan,
     RawTag,
 )
+from jsonstrata.session import run_all
 from jsonstrata.sinks.signals import archive_messages, completion_event, quarantine_rows
 from jsonstrata.sinks.tables import owner_of
 from jsonstrata.sources.dropdir import accepted, rejected
@@ -60,18 +63,6 @@ def _audit(loaded: DataFrame, rejected: DataFrame, tag: str, keys: Iterable[str]
     return yes.unionByName(no)
 
 
-def _run_all(spark: SparkSession, jobs: list[Callable[[], object]], threads: int) -> None:
-    """Run independent loads; each thread only submits Spark jobs, so the cluster stays busy."""
-    if threads <= 1 or len(jobs) <= 1:
-        for job in jobs:
-            job()
-        return
-    with ThreadPoolExecutor(threads) as pool:
-        running = [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]
-    for job in running:
-        job.result()
-
-
 @dataclass
 class Counts:
     """What became of the messages of one tag: records loaded, records without values, messages
@@ -90,11 +81,27 @@ def _sql(tag: RawTag | GoldTag):
     return tag.flatten if isinstance(tag, RawTag) else tag.transform
 
 
-def _check(messages: DataFrame, tag: RawTag | GoldTag) -> None:
-    """Run the tag's SQL over the messages and throw the result away."""
-    parsed = strip_prefix(readable(parse_messages(messages, tag.schema)))
+def _parsed(messages: DataFrame, tag: RawTag | GoldTag) -> DataFrame:
+    if DOCUMENT_COLUMN in messages.columns:
+        return parse_documents(messages, tag.schema, tag.misfits)
+    return parse_messages(messages, tag.schema)
+
+
+def _check(messages: DataFrame, tag: RawTag | GoldTag, plan: LoadPlan) -> None:
+    """Run all of the tag's SQL over the messages and throw the result away."""
+    parsed = strip_prefix(readable(_parsed(messages, tag)))
     with transformed(_sql(tag), {tag.name: parsed}) as flat:
-        flat.write.format("noop").mode("overwrite").save()
+        if isinstance(tag, GoldTag) or tag.curate is None:
+            flat.write.format("noop").mode("overwrite").save()
+            return
+        records = strip_prefix(flat).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            records.write.format("noop").mode("overwrite").save()
+            valid, _ = split_null_records(parse_event_time(records, plan.time_column), plan.raw_etl_columns, plan.null_rule)
+            with transformed(tag.curate, {f"curate_{tag.name}": valid}) as curated:
+                standardise(curated).write.format("noop").mode("overwrite").save()
+        finally:
+            records.unpersist()
 
 
 @contextmanager
@@ -110,7 +117,7 @@ def _records(
     """The tag's flat records, kept for the writes that follow, after its unreadable messages and
     the ``faulty`` ones have gone to the quarantine. Documents are parsed once and flattened once."""
     sql = _sql(tag)
-    parsed = parse_messages(messages, tag.schema).persist(StorageLevel.MEMORY_AND_DISK)
+    parsed = _parsed(messages, tag).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         bad = quarantine_rows(unreadable(parsed))
         if faulty is not None:
@@ -156,7 +163,7 @@ def load_raw_tag(
             rows = plan.raw_audit.write(audit, batch_id, {"tag": tag.name})
             counts.rejected = rows - counts.loaded
 
-        _run_all(spark, [curate, audited], plan.parallel_writes)
+        run_all(spark, [curate, audited], plan.parallel_writes)
     if counts.any:
         event = completion_event(
             spark, RAW_LAYER, tag.name, batch_id, counts.loaded, plan.raw_signal_pattern
@@ -177,14 +184,22 @@ def load_gold_tag(
         valid, rejected = split_null_records(records, plan.gold_etl_columns, plan.null_rule)
         gold = plan.gold(tag.name)
         if by_id:
-            gold.create(spark, parse_event_time(valid, plan.time_column).schema)
-            # Without the batch's own rows a replay finds the target as it was before.
-            target = gold.read(spark, without_batch=batch_id)
-            new = insert_only(valid, target, tag.id_column, plan.time_column, plan.limits)
+            timed = parse_event_time(valid, plan.time_column)
+            gold.create(spark, timed.schema)
+            # What an earlier attempt at the batch left is not published, so it isn't in the target.
+            if gold.buckets is None:
+                new = insert_only(valid, gold.read(spark), tag.id_column, plan.time_column, plan.limits)
+            else:
+                filters = plan.id_filters.read(spark).where(F.col("tag") == tag.name) if tag.filter_cells else None
+                new = rows_not_in_buckets(
+                    timed, lambda some: gold.read(spark, in_buckets=some), gold.buckets, plan.limits, filters, tag.filter_cells
+                )
         else:
             new = history(valid, plan.time_column)
         counts.loaded = gold.write(new, batch_id, mode=plan.gold_mode)
         loaded = gold.read(spark, only_batch=owner_of(batch_id, plan.gold_mode))
+        if tag.filter_cells:
+            plan.id_filters.write(id_filter(loaded, tag.id_column, tag.filter_cells), batch_id, {"tag": tag.name})
         audit = _audit(loaded, rejected, tag.name, tag.audit_keys)
         counts.rejected = plan.gold_audit.write(audit, batch_id, {"tag": tag.name}) - counts.loaded
     if not by_id and counts.any:
@@ -203,6 +218,7 @@ def load_batch(
     keep_progress: bool,
     payload_root: str | None = None,
     sample: int | None = None,
+    before_publishing: Callable[[], None] | None = None,
 ) -> None:
     """Run one batch of messages through RAW and GOLD for every tag.
 
@@ -210,17 +226,23 @@ def load_batch(
     payloads are archived. File messages rely on the stream's checkpoint instead. ``payload_root``
     is the folder of claim-checked payloads: messages with a ``payload_ref`` field are replaced by
     the file it names. ``sample`` loads the first
-    messages only, without archive and progress.
+    messages only, without archive and progress. ``before_publishing`` writes what else belongs to
+    the batch.
 
-    Every write replaces what an earlier attempt at the same batch left, and progress is stored
-    last, so a batch that failed anywhere can simply be run again.
+    Every write replaces what an earlier attempt at the same batch left, so a batch that failed
+    anywhere can simply be run again. Nothing of it is seen until all of its tables are written:
+    one file then publishes it, its progress included. A batch that is published, by itself or
+    joined up with others since, is not loaded again.
     """
     spark = messages.sparkSession
     plan.create(spark)
+    if plan.commits.holds(spark, batch_id):
+        return
     if sample is not None:
         messages = sample_messages(messages, sample)
     if payload_root is not None:
         messages = open_envelopes(messages, root=payload_root)
+    documents = None
     taken = messages = envelopes = messages.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         refused = rejected(messages)
@@ -249,6 +271,11 @@ def load_batch(
         if track:
             archive_messages(readable_messages, plan.archive_directory, batch_id)
 
+        if plan.parse_once:
+            # Kept while the tags are loaded: each of them reads the parsed documents.
+            documents = with_documents(readable_messages).persist(StorageLevel.MEMORY_AND_DISK)
+            readable_messages = documents
+
         metrics: list[tuple] = []
 
         def job(load, layer: str, tag) -> Callable[[], None]:
@@ -257,14 +284,15 @@ def load_batch(
                 if track:
                     stored = plan.watermarks.stored(spark, layer, tag.name, batch_id)
                     if stored.seq:
-                        todo = after_watermark(todo, stored.latest, plan.limits)
+                        unseen = not_covered if plan.progress == "ranges" else after_watermark
+                        todo = unseen(todo, stored.latest, plan.limits)
                 started = time.monotonic()
                 try:
                     counts = load(todo, tag, plan, batch_id)
-                except PySparkException:
-                    if tag.on_error == "fail":
+                except PySparkException as error:
+                    if tag.on_error == "fail" or not of_data(error):
                         raise
-                    good, faulty = isolate(todo, lambda part: _check(part, tag))
+                    good, faulty = isolate(todo, lambda part: _check(part, tag, plan))
                     counts = load(good, tag, plan, batch_id, faulty)
                 elapsed = round(1000 * (time.monotonic() - started))
                 metrics.append((layer, tag.name, counts.loaded, counts.rejected, counts.unreadable, elapsed))
@@ -276,8 +304,13 @@ def load_batch(
         # The layers do not depend on each other; one thread would take RAW before GOLD.
         jobs = [job(load_raw_tag, RAW_LAYER, tag) for tag in plan.raw_tags]
         jobs += [job(load_gold_tag, GOLD_LAYER, tag) for tag in plan.gold_tags]
-        _run_all(spark, jobs, plan.parallel_tags)
+        run_all(spark, jobs, plan.parallel_tags)
         plan.load_metrics.write(spark.createDataFrame(sorted(metrics), LOAD_SCHEMA), batch_id)
+        if before_publishing is not None:
+            before_publishing()
+        plan.commits.commit(spark, batch_id)
     finally:
+        if documents is not None:
+            documents.unpersist()
         messages.unpersist()
         taken.unpersist()

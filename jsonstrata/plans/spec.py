@@ -4,15 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass, field
+from functools import partial
 
 from pyspark.sql import SparkSession
 from pyspark.sql.types import ArrayType, StructType
 
 from jsonstrata.functions.names import split_names
 from jsonstrata.functions.scalars import EVENT_TIME_COLUMN
+from jsonstrata.operators.membership import FILTER_SCHEMA, Buckets, merged
 from jsonstrata.operators.skew import DEFAULT_LIMITS, JoinLimits
 from jsonstrata.operators.sqlflow import StagedFlow
-from jsonstrata.sinks.progress import WatermarkTable
+from jsonstrata.operators.variants import MISFITS
+from jsonstrata.session import run_all
+from jsonstrata.sinks.commits import CommitLog
+from jsonstrata.sinks.progress import RangeTable, WatermarkTable
 from jsonstrata.sinks.tables import BatchTable
 
 # Names of the two layers that keep progress.
@@ -32,6 +37,9 @@ METRICS_SCHEMA = "messages bigint, resolved bigint, payload_chars bigint"
 LOAD_SCHEMA = (
     "layer string, tag string, loaded bigint, rejected bigint, unreadable bigint, elapsed_ms bigint"
 )
+REDRIVE_SCHEMA = "source string, partition int, offset bigint, attempts int, state string"
+# How progress is kept: the latest offset of a partition, or all loaded ranges.
+PROGRESS = ("latest", "ranges")
 # What to do with messages on which a tag's SQL fails.
 ON_ERROR = ("fail", "quarantine")
 
@@ -42,7 +50,9 @@ class RawTag:
 
     ``flatten`` reads the parsed documents as ``{<name>}``; ``curate`` reads the loaded RAW rows
     as ``{curate_<name>}``. Without SQL the frame passes through. With ``on_error="quarantine"`` the
-    messages on which ``flatten`` fails are looked for and put aside, and the others are loaded.
+    messages on which ``flatten`` or ``curate`` fails are looked for and put aside, and the others
+    are loaded. With ``misfits="rescue"`` a document whose values don't all fit the schema is loaded
+    without these, and the parsed documents have a column ``_rescued`` that tells them.
     """
 
     name: str
@@ -51,12 +61,18 @@ class RawTag:
     curate: str | StagedFlow | None = None
     audit_keys: tuple[str, ...] = ()
     on_error: str = "fail"
+    misfits: str = "quarantine"
 
 
 @dataclass(frozen=True)
 class GoldTag:
     """A table of the GOLD layer. ``transform`` reads the parsed documents as ``{<name>}``.
-    ``id_column`` is needed for a tag that is loaded insert-only. ``on_error`` as for a RAW tag."""
+    ``id_column`` is needed for a tag that is loaded insert-only. ``on_error`` as for a RAW tag.
+
+    With ``buckets`` an insert-only table is divided by a hash of the id, and a batch scans the
+    buckets of its ids. With ``filter_cells`` the loaded ids are kept as bitmaps of so many cells
+    (about one for 3,000 ids), and only buckets of ids that these may hold are scanned.
+    """
 
     name: str
     schema: StructType | ArrayType
@@ -64,13 +80,18 @@ class GoldTag:
     id_column: str | None = None
     audit_keys: tuple[str, ...] = ()
     on_error: str = "fail"
+    misfits: str = "quarantine"
+    buckets: int = 0
+    filter_cells: int = 0
 
 
 @dataclass(frozen=True)
 class LoadPlan:
     """Tags and settings of one load. ``root`` is a folder that all executors share.
 
-    ``parallel_tags`` tags are loaded at once, each with up to ``parallel_writes`` writes. A batch
+    With ``parse_once`` a message is parsed once for all tags, as a VARIANT, instead of once a tag; a
+    tag with ``misfits="rescue"`` needs that. With ``progress="ranges"`` a message is skipped if its own
+    offset was loaded, not if a larger one was. ``parallel_tags`` tags are loaded at once, each with up to ``parallel_writes`` writes. A batch
     whose scan has more partitions than cores is joined up to about ``chars_per_task`` of payload.
     """
 
@@ -88,19 +109,31 @@ class LoadPlan:
     raw_signal_pattern: str = ""
     gold_signal_pattern: str = ""
     database_prefix: str = ""
+    parse_once: bool = False
+    progress: str = "latest"
     parallel_tags: int = 4
     parallel_writes: int = 3
     chars_per_task: int = 128 * 2**20
     limits: JoinLimits = field(default=DEFAULT_LIMITS)
 
     def __post_init__(self) -> None:
+        if self.progress not in PROGRESS:
+            raise ValueError(f"progress must be one of {PROGRESS}, not {self.progress!r}")
         unknown = self.insert_only_tags - {t.name for t in self.gold_tags}
         if unknown:
             raise ValueError(f"insert-only tags without a definition: {sorted(unknown)}")
         for tag in (*self.raw_tags, *self.gold_tags):
             if tag.on_error not in ON_ERROR:
                 raise ValueError(f"on_error of tag {tag.name!r} must be one of {ON_ERROR}")
+            if tag.misfits not in MISFITS:
+                raise ValueError(f"misfits of tag {tag.name!r} must be one of {MISFITS}")
+            if tag.misfits == "rescue" and not self.parse_once:
+                raise ValueError(f"misfits of tag {tag.name!r} are rescued only with parse_once")
         for tag in self.gold_tags:
+            if (tag.buckets or tag.filter_cells) and tag.name not in self.insert_only_tags:
+                raise ValueError(f"tag {tag.name!r} has buckets or a filter but is not insert-only")
+            if tag.filter_cells and not tag.buckets:
+                raise ValueError(f"the filter of tag {tag.name!r} needs buckets to choose from")
             if tag.name in self.insert_only_tags and tag.id_column is None:
                 raise ValueError(f"insert-only tag {tag.name!r} needs an id column")
         if self.insert_only_tags and self.gold_mode == "overwrite":
@@ -119,8 +152,14 @@ class LoadPlan:
     def database(self, layer: str) -> str:
         return f"{self.database_prefix}{layer}"
 
-    def table(self, layer: str, name: str, keys: tuple[str, ...] = ()) -> BatchTable:
-        return BatchTable(f"{self.database(layer)}.{name}", f"{self.root}/{layer}/{name}", keys)
+    @property
+    def commits(self) -> CommitLog:
+        """Names of the published batches."""
+        return CommitLog(f"{self.root}/work/_commits")
+
+    def table(self, layer: str, name: str, keys: tuple[str, ...] = (), buckets: Buckets | None = None) -> BatchTable:
+        path = f"{self.root}/{layer}/{name}"
+        return BatchTable(f"{self.database(layer)}.{name}", path, keys, buckets, self.commits)
 
     def raw(self, tag: str) -> BatchTable:
         return self.table("raw", tag)
@@ -129,7 +168,10 @@ class LoadPlan:
         return self.table("curated", tag)
 
     def gold(self, tag: str) -> BatchTable:
-        return self.table("gold" if tag in self.insert_only_tags else "gold_history", tag)
+        if tag not in self.insert_only_tags:
+            return self.table("gold_history", tag)
+        spec = next(t for t in self.gold_tags if t.name == tag)
+        return self.table("gold", tag, buckets=Buckets(spec.id_column, spec.buckets) if spec.buckets else None)
 
     @property
     def raw_audit(self) -> BatchTable:
@@ -155,9 +197,18 @@ class LoadPlan:
     def load_metrics(self) -> BatchTable:
         return self.table("work", "load_metrics")
 
+    @property
+    def id_filters(self) -> BatchTable:
+        return self.table("work", "id_filters", ("tag",))
+
+    @property
+    def redrives(self) -> BatchTable:
+        return self.table("work", "redrives", ("layer", "tag"))
+
     @property
     def watermarks(self) -> WatermarkTable:
-        return WatermarkTable.at(f"{self.database('work')}.watermarks", f"{self.root}/work/watermarks")
+        kind, name = (RangeTable, "ranges") if self.progress == "ranges" else (WatermarkTable, "watermarks")
+        return kind.at(f"{self.database('work')}.{name}", f"{self.root}/work/{name}", self.commits)
 
     @property
     def archive_directory(self) -> str:
@@ -181,7 +232,37 @@ class LoadPlan:
             (self.quarantine, QUARANTINE_SCHEMA),
             (self.load_events, EVENT_SCHEMA),
             (self.batch_metrics, METRICS_SCHEMA),
+            (self.id_filters, FILTER_SCHEMA),
+            (self.redrives, REDRIVE_SCHEMA),
         ]:
             shared.create(spark, spark.createDataFrame([], ddl).schema)
         self.watermarks.create(spark)
         self.load_metrics.create(spark, spark.createDataFrame([], LOAD_SCHEMA).schema)
+
+    def compact(self, spark: SparkSession, batches: Iterable[str], into: str) -> None:
+        """Join published batches up into one, in all tables, with files of Spark's usual size.
+
+        For batches of a past day, and between two loads. The joined rows are written first, one file
+        then publishes them in the place of the batches, and only then the batches' files go; a call
+        that failed can be repeated. A batch that is run again afterwards is not loaded again. Tables
+        in overwrite mode have no batches to join. Filters of ids are merged.
+        """
+        batches = sorted(set(batches) - {into})
+        parts = self.commits.parts(spark)
+        done = into in parts
+        missing = [b for b in batches if not done and b not in parts]
+        if missing:
+            raise ValueError(f"batches that are not published cannot be joined up: {missing}")
+        tables = [self.raw_audit, self.gold_audit, self.quarantine, self.load_events, self.batch_metrics]
+        tables += [self.load_metrics, self.redrives]
+        tables += [self.raw(t.name) for t in self.raw_tags if self.raw_mode == "append"]
+        tables += [self.curated(t.name) for t in self.raw_tags if self.curated_mode == "append"]
+        tables += [self.gold(t.name) for t in self.gold_tags if self.gold_mode == "append"]
+        merges = {t.name: None for t in tables if spark.catalog.tableExists(t.name)} | {self.id_filters.name: merged}
+        tables = [t for t in (*tables, self.id_filters) if t.name in merges]
+        if not done:
+            joins = [partial(t.join_up, spark, batches, into, merges[t.name]) for t in tables]
+            run_all(spark, joins, self.parallel_tags)
+            self.commits.replace(spark, batches, into)
+        for table in tables:
+            table.forget(spark, batches)

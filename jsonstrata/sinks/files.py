@@ -25,6 +25,12 @@ def names(spark: SparkSession, folder: str) -> list[str]:
     return sorted(entry.getPath().getName() for entry in store.listStatus(at))
 
 
+def make(spark: SparkSession, folder: str) -> bool:
+    """Make a folder; whether there was none before."""
+    store, at = _at(spark, folder)
+    return not store.exists(at) and store.mkdirs(at)
+
+
 def delete(spark: SparkSession, path: str) -> None:
     store, at = _at(spark, path)
     store.delete(at, True)

@@ -57,13 +57,13 @@ class BatchTable:
         columns = [f"{quoted(f.name)} {type_ddl(f.dataType)}" for f in schema.fields]
         columns += [f"{quoted(c)} {'int' if c == BUCKET_COLUMN else 'string'}" for c in self.partition_columns]
         ddl = ", ".join(columns)
-        known = files.exists(spark, self.path)
+        new = files.make(spark, self.path)
         partitions = ", ".join(quoted(c) for c in self.partition_columns)
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {self.name} ({ddl}) USING parquet "
             f"PARTITIONED BY ({partitions}) LOCATION '{self.path}'"
         )
-        if known:
+        if not new:
             spark.catalog.recoverPartitions(self.name)
 
     def _directory(self, batch_id: str, values: Mapping[str, str]) -> tuple[str, str]:

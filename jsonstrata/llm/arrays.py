@@ -22,8 +22,6 @@ SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
-#: Bytes of a word without punctuation: ASCII letters and digits, and all of other scripts.
-WORDLIKE = np.array([b >= 0x80 or chr(b).isalnum() for b in range(256)])
 
 
 def mix(x: np.ndarray) -> np.ndarray:

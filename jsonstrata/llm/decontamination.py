@@ -8,8 +8,10 @@ of place, so reordered passages are found. The marked share of the item's words
 from __future__ import annotations
 
 import heapq
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -17,39 +19,81 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jsonstrata.llm.arrays import WORDLIKE, buffers, runs, spans, stretches, words
+from jsonstrata.llm.arrays import buffers, runs, spans, stretches
 from jsonstrata.llm.frames import col, keep, ready
 
 #: Bits of the table that tells most words' seeds apart from the benchmark's before they are searched.
 FILTER_BITS = 24
+#: Characters whose kind is looked up: the first two planes of Unicode.
+TABLE = 0x20000
+#: First and last characters of scripts without spaces between words (Thai and Lao,
+#: Myanmar, Khmer, Japanese syllables, Han characters).
+UNSPACED = ((0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3040, 0x30FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF))
+#: Places of equal seeds that are compared at once; more are divided by items, then by documents.
+PLACES = 1 << 22
 
 
 @dataclass(frozen=True)
 class Items:
-    """The words of a block of benchmark items, and their seeds in order of the seed's hash."""
+    """The words of a block of benchmark items, and their seeds of one length in order of hash and item."""
 
     ids: np.ndarray
     bounds: np.ndarray
-    values: np.ndarray
+    k: int
     seeds: np.ndarray
     seed_item: np.ndarray
     seed_at: np.ndarray
 
 
+@cache
+def _kinds() -> np.ndarray:
+    """What each character is to words: 0 between them, 1 a part of one, 2 one of its own.
+
+    Letters, marks and digits make words; in scripts that are written without spaces each of them is
+    a word. Characters beyond the table are such ones too (further Han characters).
+    """
+    kinds = np.array([unicodedata.category(chr(c))[0] in "LMN" for c in range(TABLE)], np.uint8)
+    for first, last in UNSPACED:
+        kinds[first : last + 1] *= 2
+    return np.append(kinds, np.uint8(2))
+
+
 def word_values(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Hash and text number of every word: letters and digits in lower case, without punctuation."""
     data, bounds = buffers(pc.utf8_lower(column))
-    start, end, owner = words(data, bounds, WORDLIKE)
-    return stretches(data, start, end), owner
+    if (data >= 0x80).any():
+        # From here on characters, where bytes were; an ASCII text has the same numbers for both.
+        at = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+        data = np.frombuffer(data.tobytes().decode("utf-8").encode("utf-32-le"), np.uint32)
+        bounds = at[bounds]
+    kind = _kinds()[np.minimum(data.astype(np.uint32), TABLE)]
+    inside = kind > 0
+    first, last = inside.copy(), inside.copy()
+    joined = (kind[1:] == 1) & (kind[:-1] == 1)
+    first[1:] &= ~joined
+    last[:-1] &= ~joined
+    edges = bounds[(bounds > 0) & (bounds < len(data))]
+    first[edges] = inside[edges]
+    last[edges - 1] = inside[edges - 1]
+    start, end = np.flatnonzero(first), np.flatnonzero(last) + 1
+    return stretches(data, start, end), np.searchsorted(bounds, start, "right") - 1
 
 
-def build(ids: list, texts: list, k: int) -> Items:
+def build(ids: list, texts: list, k: int, least: int) -> list[Items]:
+    """The seeds of ``k`` words, and for each smaller length those of the items of just so many words."""
     values, owner = word_values(pa.array(texts, pa.string()))
     bounds = np.searchsorted(owner, np.arange(len(ids) + 1))
-    seeds, at = runs(values, owner, k)
-    order = np.argsort(seeds, kind="stable")
-    item = owner[at][order]
-    return Items(np.array(ids), bounds, values, seeds[order], item, at[order] - bounds[item])
+    size = np.diff(bounds)
+    out = []
+    for length in range(k, least - 1, -1):
+        seeds, at = runs(values, owner, length)
+        here = size[owner[at]] >= k if length == k else size[owner[at]] == length
+        seeds, at = seeds[here], at[here]
+        if length == k or len(seeds):
+            order = np.lexsort((owner[at], seeds))
+            item = owner[at][order]
+            out.append(Items(np.array(ids), bounds, length, seeds[order], item, at[order] - bounds[item]))
+    return out
 
 
 def tile(doc_at: np.ndarray, item_at: np.ndarray, k: int) -> list[tuple[int, int, int]]:
@@ -95,6 +139,7 @@ def find_contamination(
     benchmark: DataFrame,
     seed_words: int = 5,
     min_coverage: float = 0.5,
+    min_item_words: int = 3,
     block_bytes: int = 16 << 20,
     id_column: str = "doc_id",
     text_column: str = "text",
@@ -104,11 +149,15 @@ def find_contamination(
     """Documents and the items they hold: (doc_id, item_id, n_tiles, tile_words, item_words, coverage).
 
     A pair is returned when tiles of at least ``seed_words`` words cover ``min_coverage`` of the
-    item's words. Words are letters and digits in lower case, so case and punctuation don't matter.
+    item's words. Words are letters and digits in lower case, so case and punctuation don't matter; in
+    scripts without spaces every character is a word. An item of fewer than ``seed_words`` words is
+    found where all of them stand in a row. Items of fewer than ``min_item_words`` words are not
+    searched for, since they stand in almost any text.
 
     The items go to the tasks in blocks of about ``block_bytes`` of text, one pass over the
     documents for each block, so what is broadcast is bounded. Documents aren't shuffled and whole
-    texts are read. Null or empty texts and items of fewer than ``seed_words`` words match nothing.
+    texts are read. Equal seeds are met in pieces of bounded size, by items and documents. Null or
+    empty texts match nothing.
     Repeated rows of either table give repeated pairs. Empty tables give no rows; other columns may
     have any name.
     """
@@ -126,56 +175,89 @@ def find_contamination(
     for block in range(blocks):
         # At most about block_bytes of text.
         part = dealt.where(F.col("block") == block).drop("block").toArrow()
-        built = build(part.column("item_id").to_pylist(), part.column("text").to_pylist(), seed_words)
-        pairs = rows.mapInArrow(_matcher(spark.sparkContext.broadcast(built), seed_words, min_coverage, schema, part.schema), schema)
+        built = build(part.column("item_id").to_pylist(), part.column("text").to_pylist(), seed_words, min_item_words)
+        pairs = rows.mapInArrow(_matcher(spark.sparkContext.broadcast(built), min_coverage, part.schema), schema)
         found = pairs if found is None else found.unionByName(pairs)
     return found
 
 
-def _matcher(shared, k: int, min_coverage: float, schema: str, item_schema: pa.Schema):
+def _pairs(items: Items, owner: np.ndarray, seeds: np.ndarray, at: np.ndarray, rank: np.ndarray, keys: np.ndarray, a: int, b: int) -> Iterator[tuple]:
+    """Places of equal seeds of the documents and of the items a to b, whole pairs in every piece.
+
+    ``rank`` is the number of a document's seed among the different seeds of the items, and ``keys``
+    are rank and item of the items' seeds as one number, in order.
+    """
+    n = len(items.ids)
+    low = np.searchsorted(keys, rank * n + a)
+    many = np.searchsorted(keys, rank * n + b) - low
+    total = int(many.sum())
+    if not total:
+        return
+    if total > PLACES and b - a > 1:
+        middle = (a + b) // 2
+        yield from _pairs(items, owner, seeds, at, rank, keys, a, middle)
+        yield from _pairs(items, owner, seeds, at, rank, keys, middle, b)
+        return
+    docs = owner[at]
+    if total > PLACES and docs[0] != docs[-1]:
+        cut = int(np.searchsorted(docs, (docs[0] + docs[-1]) // 2, "right"))
+        for part in (slice(None, cut), slice(cut, None)):
+            yield from _pairs(items, owner, seeds[part], at[part], rank[part], keys, a, b)
+        return
+    place = np.repeat(low - (np.cumsum(many) - many), many) + np.arange(total)
+    where = np.repeat(at, many)
+    yield owner[where], items.seed_item[place], where, items.seed_at[place]
+
+
+def _matcher(shared, min_coverage: float, item_schema: pa.Schema):
     item_type = item_schema.field("item_id").type
 
+    def tiled(items: Items, values: np.ndarray, owner: np.ndarray, maybe: np.ndarray, distinct: np.ndarray, keys: np.ndarray) -> Iterator[tuple]:
+        seeds, at = runs(values, owner, items.k)
+        hit = np.flatnonzero(maybe[seeds >> np.uint64(64 - FILTER_BITS)])
+        rank = np.searchsorted(distinct, seeds[hit])
+        real = distinct[np.minimum(rank, len(distinct) - 1)] == seeds[hit]
+        hit, rank = hit[real], rank[real]
+        for doc, item, where, inner in _pairs(items, owner, seeds[hit], at[hit], rank, keys, 0, len(items.ids)):
+            order = np.lexsort((item, doc))
+            doc, item, where, inner = doc[order], item[order], where[order], inner[order]
+            edge = np.flatnonzero(np.append(True, (np.diff(doc) != 0) | (np.diff(item) != 0)))
+            for a, b in zip(edge, np.append(edge[1:], len(doc)), strict=True):
+                size = int(items.bounds[item[a] + 1] - items.bounds[item[a]])
+                # Distinct item words in seeds bound what tiles can cover.
+                covered = np.zeros(size + items.k, np.int32)
+                np.add.at(covered, inner[a:b], 1)
+                np.add.at(covered, inner[a:b] + items.k, -1)
+                if np.count_nonzero(np.cumsum(covered[:size])) < min_coverage * size:
+                    continue
+                tiles = tile(where[a:b], inner[a:b], items.k)
+                marked = sum(n for _, _, n in tiles)
+                if marked >= min_coverage * size:
+                    yield int(doc[a]), items.ids[item[a]], len(tiles), marked, size, marked / size
+
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items: Items = shared.value
-        maybe = np.zeros(1 << FILTER_BITS, bool)
-        maybe[items.seeds >> np.uint64(64 - FILTER_BITS)] = True
+        prepared = []
+        for items in shared.value:
+            if not len(items.seeds):
+                continue
+            maybe = np.zeros(1 << FILTER_BITS, bool)
+            maybe[items.seeds >> np.uint64(64 - FILTER_BITS)] = True
+            distinct, rank = np.unique(items.seeds, return_inverse=True)
+            prepared.append((items, maybe, distinct, rank * len(items.ids) + items.seed_item))
         for batch in batches:
             texts = batch.column("text")
             rows = []
             _, bounds = buffers(texts)
             for i, j in spans(bounds):
                 values, owner = word_values(texts.slice(i, j - i))
-                seeds, at = runs(values, owner, k)
-                hit = np.flatnonzero(maybe[seeds >> np.uint64(64 - FILTER_BITS)])
-                low = np.searchsorted(items.seeds, seeds[hit], "left")
-                many = np.searchsorted(items.seeds, seeds[hit], "right") - low
-                hit, low, many = hit[many > 0], low[many > 0], many[many > 0]
-                if not len(hit):
-                    continue
-                place = np.repeat(low - (np.cumsum(many) - many), many) + np.arange(many.sum())
-                where = np.repeat(at[hit], many)
-                doc, item = owner[where], items.seed_item[place]
-                order = np.lexsort((item, doc))
-                doc, item, where, inner = doc[order], item[order], where[order], items.seed_at[place][order]
-                edge = np.flatnonzero(np.append(True, (np.diff(doc) != 0) | (np.diff(item) != 0)))
-                for a, b in zip(edge, np.append(edge[1:], len(doc)), strict=True):
-                    size = int(items.bounds[item[a] + 1] - items.bounds[item[a]])
-                    # Distinct item words in seeds bound what tiles can cover.
-                    covered = np.zeros(size + k, np.int32)
-                    np.add.at(covered, inner[a:b], 1)
-                    np.add.at(covered, inner[a:b] + k, -1)
-                    if np.count_nonzero(np.cumsum(covered[:size])) < min_coverage * size:
-                        continue
-                    tiles = tile(where[a:b], inner[a:b], k)
-                    marked = sum(n for _, _, n in tiles)
-                    if marked >= min_coverage * size:
-                        rows.append((i + int(doc[a]), item[a], len(tiles), marked, size, marked / size))
+                for items, maybe, distinct, keys in prepared:
+                    rows += [(i + doc, *rest) for doc, *rest in tiled(items, values, owner, maybe, distinct, keys)]
             if rows:
                 number, item, *rest = zip(*rows, strict=True)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id").take(pa.array(number)),
-                        pa.array([items.ids[x].item() if hasattr(items.ids[x], "item") else items.ids[x] for x in item], item_type),
+                        pa.array([x.item() if hasattr(x, "item") else x for x in item], item_type),
                         *(pa.array(x, pa.int32()) for x in rest[:3]),
                         pa.array(rest[3], pa.float64()),
                     ],

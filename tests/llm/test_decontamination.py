@@ -30,7 +30,7 @@ def test_whole_reordered_and_partial_passages(spark):
         (8, ITEM),
         (9, "filler " * 50_000 + ITEM),
     ]
-    items = [(10, ITEM, "c", "c"), (11, "too short here", "c", "c"), (12, None, "c", "c"), (13, "", "c", "c")]
+    items = [(10, ITEM, "c", "c"), (11, "too short", "c", "c"), (12, None, "c", "c"), (13, "", "c", "c")]
     want = [(i, 10, 1, 16, 16) for i in (0, 1, 3, 8, 8, 9)] + [(2, 10, 2, 16, 16)]
     assert found(spark, rows, items) == sorted(want)
     assert found(spark, rows, items, block_bytes=40) == sorted(want)
@@ -79,3 +79,39 @@ def test_query_finds_every_whole_item(spark):
     flat = lambda t: " ".join(t.split())
     want = {(d["doc_id"], i["item_id"]) for d in docs for i in items if flat(i["text"]) in flat(d["text"])}
     assert want and want <= got and decontamination.FILTER_BITS
+
+
+def test_scripts_without_spaces_and_short_items(spark):
+    chinese = "这是一个关于语言模型的测试问题请回答"
+    items = [(1, chinese, "c", "c"), (2, "the answer is", "c", "c"), (3, "is", "c", "c"), (4, "Où – «déjà» vu l’été dernier ici", "c", "c")]
+    rows = [
+        (1, f"前面的文字，{chinese[:9]}，{chinese[9:]}。后面"),
+        (2, "so The ANSWER, is: 4"),
+        (3, "the answer and this is"),
+        (4, "où déjà-vu l'été\u00a0dernier ici"),
+        (5, "完全不同的另外一段文字没有任何关系"),
+        (6, "𠀀" * 30),
+    ]
+    assert found(spark, rows, items) == [(1, 1, 1, 18, 18), (2, 2, 1, 3, 3), (4, 4, 1, 7, 7)]
+    assert (3, 3, 1, 1, 1) in found(spark, rows, items, min_item_words=1)
+
+
+def test_hot_seeds_are_met_in_pieces(spark, monkeypatch):
+    """A stock phrase in every item and again and again in a document: the same pairs, in small pieces."""
+    phrase = "all rights reserved by the author of"
+    items = [(i, f"{phrase} item{i}", "c", "c") for i in range(40)]
+    rows = [(d, f"{phrase} x{d} " * 30 + f"{phrase} item{d}") for d in range(6)]
+    want = found(spark, rows, items)
+    assert len(want) == 240
+    monkeypatch.setattr(decontamination, "PLACES", 50)
+    built = decontamination.build([i for i, *_ in items], [t for _, t, *_ in items], 5, 3)[0]
+    import pyarrow as pa
+
+    values, owner = decontamination.word_values(pa.array([t for _, t in rows]))
+    seeds, at = decontamination.runs(values, owner, 5)
+    distinct, rank = np.unique(built.seeds, return_inverse=True)
+    keys = rank * 40 + built.seed_item
+    mine = np.searchsorted(distinct, seeds)
+    real = distinct[np.minimum(mine, len(distinct) - 1)] == seeds
+    parts = list(decontamination._pairs(built, owner, seeds[real], at[real], mine[real], keys, 0, 40))
+    assert len(parts) == 240 and all(len(set(zip(d.tolist(), i.tolist()))) == 1 for d, i, _, _ in parts)

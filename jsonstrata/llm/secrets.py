@@ -117,6 +117,40 @@ def scan(
     return paths, pairs.select("blob", "kind", "version"), found
 
 
+@dataclass(frozen=True)
+class Ledger:
+    """What increments so far have scanned, and found, as written tables."""
+
+    pairs: DataFrame
+    found: DataFrame
+
+    def current(self, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+        """Findings of the rules at their present versions; those of older versions are retired."""
+        present = F.lit(False)
+        for rule in rules:
+            present = present | ((F.col("kind") == rule.kind) & (F.col("version") == rule.version))
+        return self.found.where(present)
+
+
+def update(
+    docs: DataFrame,
+    ledger: Ledger | None = None,
+    rules: tuple[Rule, ...] = RULES,
+    path_column: str = "doc_id",
+    text_column: str = "text",
+) -> tuple[DataFrame, Ledger]:
+    """The paths of ``docs`` with their blobs, and the ledger after an increment.
+
+    Only pairs of blob and rule version that the ledger lacks are scanned. Findings stay with the
+    blobs, so paths that come later, or come back, meet what was found before.
+    """
+    paths, new, found = scan(docs, None if ledger is None else ledger.pairs, rules, path_column, text_column)
+    new = keep(new)
+    if ledger is None:
+        return paths, Ledger(new, found)
+    return paths, Ledger(ledger.pairs.unionByName(new), ledger.found.unionByName(found))
+
+
 def per_path(paths: DataFrame, found: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """Every path with its findings as an ordered array of (start, rule number, kind, end)."""
     order = F.array_position(F.array(*(F.lit(r.kind) for r in rules)), F.col("kind"))

@@ -1,7 +1,7 @@
 import hashlib
 import re
 
-from jsonstrata.llm.secrets import RULES, Rule, per_path, scan
+from jsonstrata.llm.secrets import RULES, Rule, per_path, scan, update
 from samples import documents
 
 TEXTS = [
@@ -62,3 +62,21 @@ def test_only_unseen_pairs_are_scanned(spark):
 def test_empty_table(spark):
     paths, ledger, found = scan(documents(spark, TEXTS).where("false"))
     assert paths.count() == ledger.count() == found.count() == 0
+
+
+def test_ledger_keeps_findings_and_retires_old_versions(spark):
+    docs = documents(spark, TEXTS)
+    _, ledger = update(docs, None, RULES[:2])
+    assert {r["kind"] for r in ledger.pairs.select("kind").distinct().collect()} == {"assign", "access"}
+    late = [(30, TEXTS[0][1]), (31, "secret=zyxwvu")]
+    paths, ledger = update(docs.unionByName(documents(spark, late)), ledger, RULES)
+    want = sorted(((i or 0, brute(t)) for i, t in [*TEXTS, *late]), key=repr)
+    assert spans(paths, ledger.current()) == want
+    assert ledger.pairs.count() == ledger.pairs.distinct().count()
+    newer = (*RULES[:2], Rule("hex", r"[0-9a-f]{32,}", version=2))
+    paths, ledger = update(docs, ledger, newer)
+    assert ledger.current(newer).where("kind = 'hex'").count() == ledger.found.where("version = 2").count() > 0
+    # The rules of before still have their findings, and an increment without news scans nothing.
+    assert ledger.current(RULES).where("kind = 'hex'").count() > 0
+    _, same = update(docs, ledger, newer)
+    assert same.pairs.count() == ledger.pairs.count()

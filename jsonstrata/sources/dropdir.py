@@ -152,6 +152,7 @@ def read_drop_batch(
     stable_millis: int = STABLE_MILLIS,
     max_file_bytes: int = MAX_FILE_BYTES,
     taken: DataFrame | None = None,
+    with_rejected: bool = False,
 ) -> DataFrame:
     """Messages of the eligible files, for a run without a stream.
 
@@ -159,13 +160,30 @@ def read_drop_batch(
     of earlier runs, such as the messages these returned; they are left out, so runs of
     ``max_files`` go on through the directory. The driver sees at most ``max_files`` chosen paths;
     executors read the files.
+
+    With ``with_rejected`` empty and oversized files are rows as well, as in the stream form, for a
+    load that sends them to the quarantine; ``max_files`` does not count them.
     """
-    limits = {"suffix": suffix, "stable_millis": stable_millis, "max_file_bytes": max_file_bytes}
-    listing = eligible(list_files(spark, directory), **limits)
+    every = list_files(spark, directory)
     if taken is not None:
         identity = file_identity(F.col("path"), F.col("modified"))
-        listing = listing.withColumn("file_key", identity["file_key"])
-        listing = listing.join(taken.select("file_key").distinct(), "file_key", "left_anti")
+        every = every.withColumn("file_key", identity["file_key"])
+        every = every.join(taken.select("file_key").distinct(), "file_key", "left_anti")
+    listing = eligible(every, suffix=suffix, stable_millis=stable_millis, max_file_bytes=max_file_bytes)
+    good = _chosen(spark, directory, listing, max_files, max_file_bytes)
+    if not with_rejected:
+        return good
+    age = F.unix_millis(F.current_timestamp()) - F.unix_millis("modified")
+    left = every.where(F.col("path").endswith(suffix) & (age >= stable_millis))
+    listed = left.select("path", F.col("modified").alias("modificationTime"), F.col("bytes").alias("length"))
+    good = good.withColumn(REJECTED_COLUMN, F.lit(None).cast("string"))
+    return good.unionByName(_rejected_messages(listed, max_file_bytes))
+
+
+def _chosen(
+    spark: SparkSession, directory: str, listing: DataFrame, max_files: int | None, max_file_bytes: int
+) -> DataFrame:
+    """Messages of the listed files, or of the oldest so many of them."""
     files = spark.read.format("binaryFile")
     if max_files is None:
         chosen = listing.select("path")

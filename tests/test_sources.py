@@ -68,6 +68,17 @@ def test_drop_batch_reads_whole_files_oldest_first(spark, incoming):
     assert nothing.count() == 0 and nothing.columns == got.columns
 
 
+def test_drop_batch_shows_what_it_refuses(spark, incoming):
+    got = read_drop_batch(spark, str(incoming), max_files=1, max_file_bytes=100, with_rejected=True).persist()
+    name = F.substring_index("source", "/", -1)
+    assert rows(got.select(name, "rejected")) == [
+        ("big.json", "file has more than 100 bytes"), ("empty.json", "file is empty"), ("f0.json", None),
+    ]
+    rest = read_drop_batch(spark, str(incoming), max_file_bytes=100, taken=got, with_rejected=True)
+    assert rows(rest.select(name, "rejected")) == [("f1.json", None), ("f2.json", None)]
+    got.unpersist()
+
+
 def test_topic_source(spark):
     assert topic_options("t", '{"t":{"0":5}}', 1000, {"kafka.bootstrap.servers": "h:1"}) == {
         "subscribe": "t",

@@ -54,13 +54,15 @@ def test_stages_take_odd_rows(spark):
         kept = documents(spark, given)
         for _, stage in corpus_pipeline.STAGES:
             kept = stage(spark, kept, SF_DIR)
-        assert kept.count() >= 0
+        ids = {r["doc_id"] for r in kept.collect()}
+        # Texts without letters go; the long one may be too long for its source's share.
+        assert {3, None} <= ids <= {3, None, 5} if given else ids == set()
 
 
-def test_all_eleven_are_registered():
+def test_all_are_registered():
     names = set(entry.queries())
     assert set(CATALOGUE) <= names and "pipeline" in names
-    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11))
+    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(n for n, q in CATALOGUE.items() if q.sql))

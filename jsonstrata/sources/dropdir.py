@@ -49,7 +49,7 @@ def _file_messages(files: DataFrame, max_file_bytes: int) -> DataFrame:
 
 
 def _rejected_messages(files: DataFrame, max_file_bytes: int) -> DataFrame:
-    """A row for each file that is empty or too large. Its content isn't asked for, so not opened."""
+    """A row for each file that is too large. Its content isn't asked for, so not opened."""
     path, modified, size = F.col("path"), F.col("modificationTime"), F.col("length")
     identity = [c.alias(name) for name, c in file_identity(path, modified).items()]
     about = F.to_json(F.struct(path.alias("path"), size.alias("bytes"), modified.alias("modified")))
@@ -96,8 +96,8 @@ def read_drop_stream(
     bounds a batch by volume instead of by number. With ``archive_dir``,
     files of finished batches are moved there.
 
-    An empty or oversized file is a row as well, with the reason in ``rejected`` and without its
-    content; the load sends it to the quarantine, so no file is lost without a trace.
+    An oversized file is a row as well, with the reason in ``rejected`` and without its content; the
+    load sends it to the quarantine. Empty files hold no message, and Spark passes over them.
     """
     options = {"pathGlobFilter": f"*{suffix}"}
     if max_bytes is None:
@@ -161,8 +161,8 @@ def read_drop_batch(
     ``max_files`` go on through the directory. The driver sees at most ``max_files`` chosen paths;
     executors read the files.
 
-    With ``with_rejected`` empty and oversized files are rows as well, as in the stream form, for a
-    load that sends them to the quarantine; ``max_files`` does not count them.
+    With ``with_rejected`` oversized files are rows as well, as in the stream form, for a load that
+    sends them to the quarantine; ``max_files`` does not count them.
     """
     every = list_files(spark, directory)
     if taken is not None:

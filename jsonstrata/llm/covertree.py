@@ -13,7 +13,6 @@ queries, the narrow side, to the shards: a task reads a shard and then lets its
 from __future__ import annotations
 
 import heapq
-import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -23,7 +22,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from jsonstrata.llm.frames import col, keep, ready
-from jsonstrata.llm.kdtree import EXACT, LONG, integers
+from jsonstrata.llm.kdtree import EXACT, LONG, integers, matrix
+from jsonstrata.llm.shards import index_rows, let_pass, send
 
 #: Vectors that are checked without further levels.
 LEAF = 16
@@ -169,36 +169,16 @@ class Shard:
         return [[(score, -i) for score, i in some] for some in best]
 
 
-def _matrix(column: pa.Array | pa.ChunkedArray, width: int, exact: bool) -> np.ndarray:
-    """Vectors as rows, shorter ones filled up with zeros; Python's numbers where doubles would not be exact."""
-    lists = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    sizes = lists.value_lengths().to_numpy(zero_copy_only=False)
-    out = np.zeros((len(lists), width), np.float64)
-    out[np.arange(width) < sizes[:, None]] = lists.flatten().to_numpy(zero_copy_only=False)
-    return out if exact else np.array([[int(x) for x in row] for row in out.tolist()], dtype=object).reshape(out.shape)
-
-
 INDEX = "shard int, kind int, pos int, vec_id long, label long, vector array<double>, tree binary"
 POSITIVES = "array<struct<no:int,vec_id:bigint,score:bigint>>"
 FOUND = "anchor_id long, no int, positive_id long, positive_score long, vec_id long, score long"
-TREE, POINT, QUERY = 0, 1, 2
+COLUMNS = ["vec_id", "label", "vector"]
 
 
 def _builder(width: int, exact: bool):
     def build(group: pa.Table) -> pa.Table:
-        order, nodes = cover(_matrix(group.column("vector"), width, exact))
-        rows = group.take(pa.array(order))
-        n = len(rows)
-        shard = rows.column("shard").combine_chunks()
-        points = pa.table(
-            [shard, pa.array(np.full(n, POINT, np.int32)), pa.array(np.arange(n, dtype=np.int32)),
-             *(rows.column(c).combine_chunks() for c in ("vec_id", "label", "vector")), pa.nulls(n, pa.binary())],
-            names=["shard", "kind", "pos", "vec_id", "label", "vector", "tree"],
-        )
-        head = [shard.slice(0, 1), pa.array([TREE], pa.int32()), pa.array([0], pa.int32())]
-        head += [pa.nulls(1, points.schema.field(c).type) for c in ("vec_id", "label", "vector")]
-        tree = pa.table([*head, pa.array([pickle.dumps(nodes)], pa.binary())], schema=points.schema)
-        return pa.concat_tables([tree, points])
+        order, nodes = cover(matrix(group.column("vector"), width, exact))
+        return index_rows(group, order, nodes, COLUMNS)
 
     return build
 
@@ -206,28 +186,16 @@ def _builder(width: int, exact: bool):
 def _searcher(width: int, exact: bool, same: bool, k: int, low: int, high: int):
     """Lets the queries of a shard pass by its tree; rows come in the order of (shard, kind, pos)."""
 
+    def make(nodes: dict[str, np.ndarray], points: pa.Table) -> Shard:
+        ids, labels = (points.column(c).to_numpy() for c in ("vec_id", "label"))
+        return Shard(nodes, matrix(points.column("vector"), width, exact), ids, labels)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, parts, at = None, [], None
-        for batch in batches:
-            kinds = np.stack([batch.column(c).to_numpy() for c in ("shard", "kind")])
-            edges = [0, *(np.flatnonzero((kinds[:, 1:] != kinds[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
-            for i, j in zip(edges[:-1], edges[1:], strict=True):
-                part, kind = batch.slice(i, j - i), kinds[1, i]
-                if kind == TREE:
-                    at, shard, parts = pickle.loads(part.column("tree")[0].as_py()), None, []
-                elif kind == POINT:
-                    parts.append(part.select(["vec_id", "label", "vector"]))
-                elif at is not None:
-                    if shard is None:
-                        points = pa.Table.from_batches(parts)
-                        ids, labels = (points.column(c).to_numpy() for c in ("vec_id", "label"))
-                        shard, parts = Shard(at, _matrix(points.column("vector"), width, exact), ids, labels), []
-                    yield _answers(shard, part)
-        # A shard that no query reaches is dropped with its rows.
+        return let_pass(batches, COLUMNS, make, _answers)
 
     def _answers(shard: Shard, part: pa.RecordBatch) -> pa.RecordBatch:
         rows = []
-        vectors = _matrix(part.column("vector"), width, exact)
+        vectors = matrix(part.column("vector"), width, exact)
         columns = (part.column(c).to_pylist() for c in ("vec_id", "label", "positives"))
         for vector, own, label, positives in zip(vectors, *columns, strict=True):
             goals = positives or [{"no": None, "vec_id": None, "score": None}]
@@ -295,12 +263,8 @@ def hard_negatives(
     index = keep(dealt.groupBy("shard").applyInArrow(_builder(width, exact), INDEX))
 
     def search(queries: DataFrame, same: bool, k: int) -> DataFrame:
-        sent = queries.select(
-            F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.lit(QUERY).alias("kind"), F.lit(0).alias("pos"),
-            "vec_id", "label", "vector", F.lit(None).cast("binary").alias("tree"), "positives",
-        )
-        both = index.withColumn("positives", F.lit(None).cast(POSITIVES)).unionByName(sent)
-        both = both.repartition(shards, "shard").sortWithinPartitions("shard", "kind", "pos")
+        sent = queries.select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), *COLUMNS, "positives")
+        both = send(index, sent, shards)
         return both.mapInArrow(_searcher(width, exact, same, k, low, high), FOUND)
 
     best = F.row_number().over(Window.partitionBy("anchor_id").orderBy(F.desc("score"), "vec_id"))

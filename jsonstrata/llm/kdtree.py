@@ -3,13 +3,13 @@
 Vectors are dealt to shards. Each shard builds a tree by median splits, every node with the tight box
 of its vectors. A query visits the nodes of a shard best-first by the highest inner product that a
 box allows, and stops when no box can reach its k-th best. The k-th best that a query finds in its
-first shard goes with it to all others.
+first shard goes with it to all others. Trees are built once and written with their vectors; queries
+are sent to them.
 """
 
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from jsonstrata.llm.frames import col, keep, ready
+from jsonstrata.llm.shards import index_rows, let_pass, send
 
 LEAF = 128
 #: Up to here sums of products are whole numbers as doubles.
@@ -54,6 +55,14 @@ class Tree:
         self.vectors = vectors[self.order]
         self.ids = ids[self.order]
 
+    @classmethod
+    def of(cls, parts: tuple, vectors: np.ndarray, ids: np.ndarray) -> Tree:
+        """A tree that was built before, over its vectors in its order."""
+        tree = cls.__new__(cls)
+        tree.nodes, tree.low, tree.high = parts
+        tree.vectors, tree.ids = vectors, ids
+        return tree
+
     def search(self, query: np.ndarray, own: int, k: int, kth: float) -> list[tuple[int, int]]:
         """The ``k`` best (score, id) with scores of ``kth`` or more; ties to the smaller id."""
         up, down = np.maximum(query, 0), np.minimum(query, 0)
@@ -90,15 +99,13 @@ class Tree:
         return [(score, -i) for score, i in found]
 
 
-def _matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
-    """Vectors as rows, shorter ones filled with zeros. Doubles if their products are exact, else Python numbers."""
-    lists = column.combine_chunks()
+def matrix(column: pa.ChunkedArray | pa.Array, width: int, exact: bool) -> np.ndarray:
+    """Vectors as rows, shorter ones filled with zeros; Python's numbers where doubles are not ``exact``."""
+    lists = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     lengths = lists.value_lengths().to_numpy(zero_copy_only=False)
     out = np.zeros((len(lists), width), np.float64)
     out[np.arange(width) < lengths[:, None]] = lists.flatten().to_numpy(zero_copy_only=False)
-    if width * float(np.abs(out).max(initial=0.0)) ** 2 >= EXACT:
-        return np.array([[int(x) for x in row] for row in out.tolist()], dtype=object).reshape(out.shape)
-    return out
+    return out if exact else np.array([[int(x) for x in row] for row in out.tolist()], dtype=object).reshape(out.shape)
 
 
 def integers(vector: Column) -> Column:
@@ -106,12 +113,26 @@ def integers(vector: Column) -> Column:
     return F.transform(vector, lambda x: F.floor(F.lit(256) * x.cast("double")).cast("double"))
 
 
+INDEX = "shard int, kind int, pos int, vec_id long, vector array<double>, tree binary"
+COLUMNS = ["vec_id", "vector"]
+FOUND = "query_id long, vec_id long, score long"
+
+
+def build_index(dealt: DataFrame, width: int, exact: bool) -> DataFrame:
+    """The tree of every shard with its vectors, of rows (shard, vec_id, vector)."""
+
+    def build(group: pa.Table) -> pa.Table:
+        tree = Tree(matrix(group.column("vector"), width, exact), group.column("vec_id").to_numpy())
+        return index_rows(group, tree.order, (tree.nodes, tree.low, tree.high), COLUMNS)
+
+    return dealt.groupBy("shard").applyInArrow(build, INDEX)
+
+
 def nearest(
     vectors: DataFrame,
     queries: DataFrame,
     k: int = 5,
     shard_rows: int = 8_192,
-    query_block: int = 512,
     id_column: str = "vec_id",
     vector_column: str = "embedding",
 ) -> DataFrame:
@@ -122,9 +143,10 @@ def nearest(
     start from 1. Vectors that are null or hold a null, infinite or undefined component take no
     part, nor do rows without an id; a missing component of a shorter vector counts as 0. A score
     beyond the range of a long counts as the nearest long. A row repeated among the vectors may be
-    returned as often, a row repeated among the queries is answered once. Empty tables give no rows; other columns may have any name.
+    returned as often, a row repeated among the queries is answered once. Empty tables give no rows;
+    other columns may have any name.
 
-    Shards have about ``shard_rows`` vectors; queries meet them in blocks of ``query_block``.
+    Shards have about ``shard_rows`` vectors.
     """
 
     def usable(df: DataFrame) -> DataFrame:
@@ -135,56 +157,47 @@ def nearest(
     ready(vectors.sparkSession)
     base = keep(usable(vectors))
     asked = keep(usable(queries).dropDuplicates(["vec_id"]))
-    size = base.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.max(F.size("vector")), F.lit(0)).alias("width")).first()
-    n_asked, wide = asked.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.max(F.size("vector")), F.lit(0)).alias("width")).first()
-    shards = max(1, -(-size["n"] // shard_rows))
-    blocks = max(1, -(-n_asked // query_block))
-    width = max(size["width"], wide, 1)
-
-    dealt = base.select(F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int").alias("shard"), "vec_id", "vector")
-    asked = asked.withColumn("home", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(shards)).cast("int"))
-    asked = asked.withColumn("block", F.pmod(F.xxhash64("vec_id", F.lit(2)), F.lit(blocks)).cast("int"))
-    schema = "query_id long, vec_id long, score long"
-
-    def search(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+    size = lambda df: df.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.coalesce(F.max(F.size("vector")), F.lit(0)).alias("width"),
+        F.coalesce(F.max(F.array_max(F.transform("vector", lambda x: F.abs(x)))), F.lit(0.0)).alias("most"),
+    ).first()
+    of_base, of_asked = size(base), size(asked)
+    shards = max(1, -(-of_base["n"] // shard_rows))
+    width = max(of_base["width"], of_asked["width"], 1)
+    exact = width * max(of_base["most"], of_asked["most"]) ** 2 < EXACT
+
+    # By the vector too, so that rows of one id are spread as well.
+    shard = F.pmod(F.xxhash64("vec_id", "vector"), F.lit(shards)).cast("int")
+    index = keep(build_index(base.select(shard.alias("shard"), "vec_id", "vector"), width, exact))
+
+    def make(parts: tuple, points: pa.Table) -> Tree:
+        return Tree.of(parts, matrix(points.column("vector"), width, exact), points.column("vec_id").to_numpy())
+
+    def answer(tree: Tree, part: pa.RecordBatch) -> pa.RecordBatch:
         rows = []
-        if left.num_rows and right.num_rows:
-            points, wanted = _matrix(left.column("vector"), width), _matrix(right.column("vector"), width)
-            if points.dtype != wanted.dtype:
-                points, wanted = points.astype(object), wanted.astype(object)
-                points, wanted = (np.vectorize(int, otypes=[object])(x) for x in (points, wanted))
-            elif points.dtype == np.float64 and width * np.abs(points).max() * np.abs(wanted).max() >= EXACT:
-                points, wanted = (np.vectorize(int, otypes=[object])(x) for x in (points, wanted))
-            tree = Tree(points, left.column("vec_id").to_numpy())
-            for query, own, kth in zip(wanted, right.column("vec_id").to_pylist(), right.column("kth").to_pylist(), strict=True):
-                rows += [(own, i, s) for s, i in tree.search(query, own, k, -np.inf if kth is None else kth)]
+        columns = (part.column(c).to_pylist() for c in ("vec_id", "kth"))
+        for query, own, kth in zip(matrix(part.column("vector"), width, exact), *columns, strict=True):
+            rows += [(own, i, s) for s, i in tree.search(query, own, k, -np.inf if kth is None else kth)]
         columns = zip(*rows, strict=True) if rows else ([], [], [])
-        return pa.table([pa.array(c, pa.int64()) for c in columns], names=["query_id", "vec_id", "score"])
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["query_id", "vec_id", "score"])
 
     def meet(queries: DataFrame) -> DataFrame:
-        return dealt.groupBy("shard").cogroup(queries.groupBy("shard")).applyInArrow(search, schema)
-
-    none = F.lit(None).cast("long")
-    first = keep(meet(asked.select(F.col("home").alias("shard"), "vec_id", "vector", none.alias("kth"))))
-    # A full answer of the home shard bounds the k-th best from below.
-    reached = first.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("kth")).where(F.col("n") == k)
-    others = asked.join(reached.select(F.col("query_id").alias("vec_id"), "kth"), "vec_id", "left")
-    others = others.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-    rest = _in_blocks(dealt, others.where("shard <> home"), search, schema) if shards > 1 else None
-    every = first.unionByName(rest) if rest is not None else first
+        sent = send(index, queries.select("shard", *COLUMNS, "kth"), shards)
+        return sent.mapInArrow(lambda batches: let_pass(batches, COLUMNS, make, answer), FOUND)
+
+    asked = asked.withColumn("home", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(shards)).cast("int"))
+    first = keep(meet(asked.withColumn("shard", F.col("home")).withColumn("kth", F.lit(None).cast("long"))))
+    every = first
+    if shards > 1:
+        # A full answer of the home shard bounds the k-th best from below.
+        reached = first.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("kth")).where(F.col("n") == k)
+        others = asked.join(reached.select(F.col("query_id").alias("vec_id"), "kth"), "vec_id", "left")
+        others = others.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).where("shard <> home")
+        every = first.unionByName(meet(others))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (
         every.withColumn("rank", F.row_number().over(best))
         .where(F.col("rank") <= k)
         .select("query_id", "rank", "vec_id", "score")
     )
-
-
-def _in_blocks(dealt: DataFrame, queries: DataFrame, search, schema: str) -> DataFrame:
-    """Every shard with every block of queries that come to it."""
-    by = ["shard", "block"]
-    # Columns of their own, or the two sides of the grouping could not be told apart.
-    blocks = queries.select(F.col("shard").alias("at"), F.col("block").alias("of")).distinct()
-    copies = dealt.join(blocks, F.col("shard") == F.col("at"))
-    copies = copies.select("shard", F.col("of").alias("block"), "vec_id", "vector")
-    return copies.groupBy(*by).cogroup(queries.groupBy(*by)).applyInArrow(search, schema)

@@ -1,9 +1,11 @@
+import pickle
 import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from jsonstrata.llm.kdtree import Tree, nearest
+from jsonstrata.llm.kdtree import Tree, build_index, nearest
 
 SCHEMA = "vec_id long, embedding array<double>, shard string, rank string, score string, block string"
 
@@ -29,7 +31,7 @@ def test_equals_brute_force_with_ties(spark, shard_rows):
     rows = [(i, [draw.choice([-0.5, 0.0, 0.25, 1.0]) for _ in range(6)]) for i in range(500)]
     rows += [(900 + i, [0.25] * 6) for i in range(40)]
     queries = set(range(0, 500, 50)) | {900, 901}
-    assert found(spark, rows, queries, shard_rows=shard_rows, query_block=4) == brute(rows, 5, queries)
+    assert found(spark, rows, queries, shard_rows=shard_rows) == brute(rows, 5, queries)
 
 
 def test_odd_vectors(spark):
@@ -54,3 +56,16 @@ def test_search_prunes():
     tree.vectors = type("Seen", (), {"__getitem__": lambda _, s: visited.append(s) or vectors[tree.ids[s]]})()
     tree.search(query, -1, 5, -np.inf)
     assert len(visited) < len(tree.nodes) / 4
+
+
+def test_a_tree_is_built_once_a_shard(spark):
+    """The index has one tree a shard, in whose order its vectors stand, so that searches build none."""
+    draw = np.random.default_rng(3)
+    rows = [(i % 4, i, [float(x) for x in draw.integers(-99, 99, 3)]) for i in range(1200)]
+    index = build_index(spark.createDataFrame(rows, "shard int, vec_id long, vector array<double>"), 3, True)
+    assert {(r["kind"], r["n"]) for r in index.groupBy("kind").agg(F.count("*").alias("n")).collect()} == {(0, 4), (1, 1200)}
+    one = index.where("shard = 2").orderBy("kind", "pos").collect()
+    vectors = np.array([r["vector"] for r in one[1:]])
+    tree = Tree.of(pickle.loads(one[0]["tree"]), vectors, np.array([r["vec_id"] for r in one[1:]]))
+    for (first, last, _), low, high in zip(tree.nodes, tree.low, tree.high):
+        assert (vectors[first:last].min(axis=0) == low).all() and (vectors[first:last].max(axis=0) == high).all()

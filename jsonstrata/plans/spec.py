@@ -38,6 +38,8 @@ LOAD_SCHEMA = (
     "layer string, tag string, loaded bigint, rejected bigint, unreadable bigint, elapsed_ms bigint"
 )
 REDRIVE_SCHEMA = "source string, partition int, offset bigint, attempts int, state string"
+# Files taken by turns without a stream; ``reason`` tells why a file was refused.
+INTAKE_SCHEMA = "file_key string, path string, modified timestamp, bytes bigint, reason string"
 # How progress is kept: the latest offset of a partition, or all loaded ranges.
 PROGRESS = ("latest", "ranges")
 # What to do with messages on which a tag's SQL fails.
@@ -205,6 +207,11 @@ class LoadPlan:
     def redrives(self) -> BatchTable:
         return self.table("work", "redrives", ("layer", "tag"))
 
+    @property
+    def intake(self) -> BatchTable:
+        """Files taken by turns. Made by the first of these, as streams have their checkpoint."""
+        return self.table("work", "intake")
+
     @property
     def watermarks(self) -> WatermarkTable:
         kind, name = (RangeTable, "ranges") if self.progress == "ranges" else (WatermarkTable, "watermarks")
@@ -254,7 +261,7 @@ class LoadPlan:
         if missing:
             raise ValueError(f"batches that are not published cannot be joined up: {missing}")
         tables = [self.raw_audit, self.gold_audit, self.quarantine, self.load_events, self.batch_metrics]
-        tables += [self.load_metrics, self.redrives]
+        tables += [self.load_metrics, self.redrives, self.intake]
         tables += [self.raw(t.name) for t in self.raw_tags if self.raw_mode == "append"]
         tables += [self.curated(t.name) for t in self.raw_tags if self.curated_mode == "append"]
         tables += [self.gold(t.name) for t in self.gold_tags if self.gold_mode == "append"]

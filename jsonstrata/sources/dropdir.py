@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -111,11 +112,18 @@ def read_drop_stream(
     return good.unionByName(_rejected_messages(files, max_file_bytes))
 
 
-def list_files(spark: SparkSession, directory: str) -> DataFrame:
-    """``(path, modified, bytes)`` of the files in a directory; their content is not read."""
+def list_files(spark: SparkSession, directory: str, since: int | None = None) -> DataFrame:
+    """``(path, modified, bytes)`` of the files in a directory; their content is not read.
+
+    With ``since``, in seconds since 1970, older ones are left out of the listing itself.
+    """
+    reader = spark.read.format("binaryFile")
+    if since is not None:
+        # The option leaves out files of exactly this second too.
+        after = datetime.fromtimestamp(since - 1, timezone.utc).strftime("%Y-%m-%dT%H:%M:%S")
+        reader = reader.option("modifiedAfter", after).option("timeZone", "UTC")
     return (
-        spark.read.format("binaryFile")
-        .load(directory)
+        reader.load(directory)
         .select("path", F.col("modificationTime").alias("modified"), F.col("length").alias("bytes"))
     )
 
@@ -189,9 +197,19 @@ def _chosen(
         chosen = listing.select("path")
         # Lengths prune the scan; a file that isn't chosen costs its own reading at most.
         return _file_messages(files.load(directory).join(chosen, "path", "left_semi"), max_file_bytes)
-    # A path is read as a pattern unless its special characters are escaped.
-    chosen = oldest_first(listing, max_files).collect()
-    paths = [re.sub(r"([\\{}\[\]*?])", r"\\\1", row["path"]) for row in chosen]
+    paths = [row["path"] for row in oldest_first(listing, max_files).collect()]
     if not paths:
         return _file_messages(files.load(directory).where(F.lit(False)), max_file_bytes)
-    return _file_messages(files.load(paths), max_file_bytes)
+    return _file_messages(files.load(_literal(paths)), max_file_bytes)
+
+
+def _literal(paths: list[str]) -> list[str]:
+    """Paths that are not read as patterns: their special characters are escaped."""
+    return [re.sub(r"([\\{}\[\]*?])", r"\\\1", path) for path in paths]
+
+
+def messages_of(spark: SparkSession, paths: list[str], max_file_bytes: int = MAX_FILE_BYTES) -> DataFrame:
+    """Messages of the named files, with a row for each one that is too large, as in the stream form."""
+    files = spark.read.format("binaryFile").load(_literal(paths))
+    good = _file_messages(files, max_file_bytes).withColumn(REJECTED_COLUMN, F.lit(None).cast("string"))
+    return good.unionByName(_rejected_messages(files, max_file_bytes))

@@ -27,6 +27,8 @@ SCHEMA = "bucket long, kind int, " + ", ".join(f"{name} binary" for name in ARRA
 #: Bytes of text for each bucket, and documents that a task looks at together.
 BUCKET_BYTES = 8 << 20
 MOST_IDS = 60_000
+#: Tasks over which buckets are dealt: one each up to this number, several each beyond it, in turn.
+MOST_TASKS = 20_000
 
 
 def texts(docs: DataFrame, id_column: str, text_column: str) -> tuple[DataFrame, int]:
@@ -99,7 +101,12 @@ def groups(*keys: np.ndarray) -> np.ndarray:
     return np.repeat(first, np.diff(np.append(first, n)))
 
 
-def cut(docs: DataFrame, covered: DataFrame) -> DataFrame:
+def by_bucket(rows: DataFrame, buckets: int) -> DataFrame:
+    """The rows dealt by bucket over tasks whose number follows that of the buckets."""
+    return rows.repartition(min(buckets, MOST_TASKS), "bucket")
+
+
+def cut(docs: DataFrame, covered: DataFrame, buckets: int) -> DataFrame:
     """(doc_id, n_bytes, spans, kept): the texts without the bytes that any stretch covers.
 
     ``spans`` are the maximal removed runs as byte offsets, the end exclusive; ``kept`` is the rest.
@@ -145,8 +152,10 @@ def cut(docs: DataFrame, covered: DataFrame) -> DataFrame:
             names=["doc_id", "n_bytes", "spans", "kept"],
         )
 
-    return _meet(docs, covered, run, "doc_id long, n_bytes long, spans array<struct<start:int,end:int>>, kept binary")
+    return meet(docs, covered, buckets, run, "doc_id long, n_bytes long, spans array<struct<start:int,end:int>>, kept binary")
 
 
-def _meet(docs: DataFrame, found: DataFrame, run: Callable, schema: str) -> DataFrame:
-    return docs.groupBy("bucket").cogroup(found.groupBy("bucket")).applyInArrow(run, schema)
+def meet(docs: DataFrame, found: DataFrame, buckets: int, run: Callable, schema: str) -> DataFrame:
+    """``run`` on the documents of each bucket and what was found about them."""
+    left, right = by_bucket(docs, buckets), by_bucket(found, buckets)
+    return left.groupBy("bucket").cogroup(right.groupBy("bucket")).applyInArrow(run, schema)

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 
 from jsonstrata.llm.arrays import BASES, LOWER, SPACE, U64, buffers, mix, powers, spans, stretches, words
 from jsonstrata.llm.frames import keep
-from jsonstrata.llm.removal import COVERED, KEYED, SCHEMA, as_table, cut, groups, id_bucket, packed, texts, unpacked
+from jsonstrata.llm.removal import COVERED, KEYED, SCHEMA, as_table, by_bucket, cut, groups, id_bucket, packed, texts, unpacked
 
 #: Bytes of text whose runs are sorted together before they are sent.
 TOGETHER = 16 << 20
@@ -191,5 +191,5 @@ def drop_repeated_sentences(
         return pa.concat_tables([through, as_table(packed(COVERED, id_bucket(gone[0], buckets), *gone))])
 
     hashed = rows.where("doc_id IS NOT NULL").select("doc_id", "text").mapInArrow(hash_runs, SCHEMA)
-    covered = keep(hashed.groupBy("bucket").applyInArrow(meet, SCHEMA))
-    return cut(rows, covered)
+    covered = keep(by_bucket(hashed, buckets).groupBy("bucket").applyInArrow(meet, SCHEMA))
+    return cut(rows, covered, buckets)

@@ -31,11 +31,12 @@ from jsonstrata.llm.removal import (
     KEYED,
     OPEN,
     SCHEMA,
-    _meet,
     as_table,
+    by_bucket,
     cut,
     groups,
     id_bucket,
+    meet,
     packed,
     texts,
     unpacked,
@@ -215,7 +216,8 @@ def drop_repeated_strings(
         return pa.concat_tables([through, as_table(covered_rows(x["ids"][late], x["start"][late], x["size"][late]))])
 
     known = rows.where("doc_id IS NOT NULL").select("doc_id", "text")
-    first = keep(known.mapInArrow(find_blocks, SCHEMA).groupBy("bucket").applyInArrow(meet_blocks, SCHEMA))
-    strings = _meet(rows, first.where(F.col("kind") == ASKED), refine, SCHEMA)
+    found = by_bucket(known.mapInArrow(find_blocks, SCHEMA), buckets)
+    first = keep(found.groupBy("bucket").applyInArrow(meet_blocks, SCHEMA))
+    strings = by_bucket(meet(rows, first.where(F.col("kind") == ASKED), buckets, refine, SCHEMA), buckets)
     second = strings.groupBy("bucket").applyInArrow(meet_strings, SCHEMA)
-    return cut(rows, first.where(F.col("kind") == COVERED).unionByName(second))
+    return cut(rows, first.where(F.col("kind") == COVERED).unionByName(second), buckets)

@@ -7,6 +7,7 @@ are all set may be absent as well, so it is looked up in the table.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 from operator import and_
@@ -22,6 +23,7 @@ BUCKET_COLUMN = "_bucket"
 CELL_BITS = 32_768
 #: Bits that an id sets. At 10 bits an id about one absent id in a hundred finds all of its own set.
 PROBES = 4
+BITS_PER_ID = 10
 FILTER_SCHEMA = "cell int, bits binary"
 
 
@@ -72,10 +74,29 @@ def may_hold(
         touched = F.broadcast(touched)
     known = merged(filters.join(touched, "cell", "left_semi")).withColumnsRenamed({"cell": cell, "bits": bits})
 
-    set_ = reduce(and_, [_bit(bits, bit) for bit in _probes(value)])
+    set_ = reduce(and_, [_bit(F.col(bits), bit) for bit in _probes(value)])
     return given.join(known, cell).where(set_).select(*map(quoted, ids.columns))
 
 
-def _bit(bits: str, bit: Column) -> Column:
-    byte = F.conv(F.hex(F.substring(F.col(bits), F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("bigint")
+def packed_filter(ids: DataFrame, id_column: str, most_cells: int) -> Callable[[Column], Column]:
+    """A test of whether a value may be one of the distinct ``ids``, as a condition without a join.
+
+    It holds all bitmaps as one constant of at most ``most_cells`` times 4 KB, whatever the number of ids:
+    beyond that more absent values pass. Only the bitmaps come to the driver.
+    """
+    cells = min(most_cells, max(1, -(-ids.count() * BITS_PER_ID // CELL_BITS)))
+    size = CELL_BITS // 8
+    bits = bytearray(cells * size)
+    for row in id_filter(ids, id_column, cells).toLocalIterator():
+        bits[row["cell"] * size : (row["cell"] + 1) * size] = row["bits"]
+
+    def test(value: Column) -> Column:
+        first = _cell(value, cells).cast("bigint") * CELL_BITS
+        return reduce(and_, [_bit(F.lit(bits), first + bit) for bit in _probes(value)])
+
+    return test
+
+
+def _bit(bits: Column, bit: Column) -> Column:
+    byte = F.conv(F.hex(F.substring(bits, F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("bigint")
     return F.call_function("getbit", byte, (bit % 8).cast("int")) == 1

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fixtures import messages, rows
+from jsonstrata.operators.membership import packed_filter
 from jsonstrata.session import shared_folder
 from jsonstrata.sinks.signals import archive_payloads
 from jsonstrata.sinks.tables import BatchTable
@@ -135,21 +136,36 @@ def test_claim_checks(spark, tmp_path):
 def test_payload_scan_reads_only_files_that_are_referred_to(spark, tmp_path):
     folder = tmp_path / "payloads"
     (folder / "day=1").mkdir(parents=True)
-    for name in ("a.json", "b.json", "c d.json"):
+    odd = ["c d.json", "e+f.json", "g%20h.json", "ü.json", "h#1.json"]
+    for name in ("a.json", "b.json", *odd):
         (folder / "day=1" / name).write_text(name)
+    # A file of this size fails a scan that opens it.
+    (folder / "day=1" / "never.json").write_text("x" * 100)
 
-    def scanned(refs, **options):
+    def scanned(refs):
         raw = [(0, i, f'{{"payload_ref":"{folder}/day=1/{ref}"}}', "t") for i, ref in enumerate(refs)]
         envelopes = open_envelopes(messages(spark, raw))
-        payloads = read_payloads(spark, str(folder), envelopes, **options)
+        payloads = read_payloads(spark, str(folder), envelopes)
         found = resolved(resolve_claim_checks(envelopes, payloads))
         return rows(payloads.select("payload")), sorted(r["json"] for r in found.collect())
 
-    everything = [("a.json",), ("b.json",), ("c d.json",)]
-    assert scanned(["a.json", "a.json", "none.json"]) == ([("a.json",)], ["a.json", "a.json"])
-    assert scanned(["a.json", "b.json"], max_names=1) == (everything, ["a.json", "b.json"])
-    assert scanned(["c d.json"]) == (everything, ["c d.json"])
-    assert scanned([]) == ([], [])
+    limit = "spark.sql.sources.binaryFile.maxLength"
+    spark.conf.set(limit, 50)
+    try:
+        assert scanned(["a.json", "a.json", "none.json"]) == ([("a.json",)], ["a.json", "a.json"])
+        assert scanned(["a.json", *odd]) == (sorted((n,) for n in ["a.json", *odd]), sorted(["a.json", *odd]))
+        assert scanned([]) == ([], [])
+    finally:
+        spark.conf.unset(limit)
+
+
+def test_packed_filter_holds_every_id(spark):
+    ids = spark.range(20_000).select(F.concat(F.lit("n"), "id").alias("name"))
+    absent = spark.range(5_000).select(F.concat(F.lit("m"), "id").alias("name"))
+    for most, passing in [(100, 0.03), (1, 1.0)]:
+        known = packed_filter(ids, "name", most)
+        assert ids.where(known(F.col("name"))).count() == 20_000
+        assert absent.where(known(F.col("name"))).count() <= passing * 5_000
 
 
 def test_archive(spark):

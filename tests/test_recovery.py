@@ -115,6 +115,21 @@ def test_ranges_merge_and_cover(spark, monkeypatch):
     assert rows(merge_ranges(found.where("false"))) == []
 
 
+def test_many_ranges_are_not_compared_with_every_message(spark, capsys):
+    loaded = [o for o in range(-50, 2_000) if o % 7 not in (3, 5)] + [3_000_000_000, 2**62]
+    known = [(1, o, "{}", "t") for o in loaded] + [(1, 5, "{}", None), (1, None, "{}", "t"), (None, 3, "{}", "t")]
+    found = offset_ranges(messages(spark, known))
+    assert found.count() > ranges.FEW_RANGES
+    every = [(p, o, f"{p}{o}", s) for p in (1, 2) for o in [*range(-60, 2_010), 3_000_000_000, 2**62] for s in ("t", "u", None)]
+    every += [(1, 4, "again", "t"), (1, 4, "again", "t"), (1, 10, "again", "t"), (1, None, "x", "t"), (None, 3, "x", "t")]
+    left = not_covered(messages(spark, every), found)
+    taken = {(1, o, "t") for o in loaded} | {(1, 5, None)}
+    assert rows(left) == sorted([m for m in every if (m[0], m[1], m[3]) not in taken], key=repr)
+    assert left.columns == messages(spark).columns
+    left.explain()
+    assert "NestedLoop" not in capsys.readouterr().out
+
+
 def test_progress_by_ranges(spark, prefix):
     plan = make_plan(spark, prefix, progress="ranges")
     text = lambda o: (0, o, f'{{"_extract_id":"A{o}"}}', "t")

@@ -198,6 +198,23 @@ def test_errors_that_are_not_of_the_data_do_not_quarantine(spark):
     given.unpersist()
 
 
+def test_a_faulty_message_costs_few_attempts(spark):
+    given = messages(spark, [(i % 3, i, "{}", "t") for i in range(2_000)] + [(1, 7, "{}", None)] * 2).persist()
+    wrong, sizes = {5, 700, 1_999}, []
+
+    def odd(part):
+        found = [r["offset"] for r in part.select("offset").collect()]
+        sizes.append(len(found))
+        if wrong & set(found):
+            part.select(F.raise_error("odd")).write.format("noop").mode("overwrite").save()
+
+    good, bad = isolate(given, odd)
+    assert {r["offset"] for r in bad.collect()} == wrong and good.count() == 1_999
+    assert good.where("source IS NULL").count() == 2
+    assert len(sizes) <= 20 * len(wrong) + 1
+    given.unpersist()
+
+
 def test_poison_in_curate_goes_to_the_quarantine(spark, prefix):
     curate = "SELECT id, CAST(id AS int) AS n FROM {curate_prod}"
     plan = make_plan(spark, prefix, raw_tags=(RawTag("prod", StructType.fromDDL("id string"), None, curate, on_error="quarantine"),), gold_tags=(), insert_only=())

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from fixtures import rows
 from jsonstrata.plans import turns
 from jsonstrata.plans.turns import load_turn, waiting_files
+from jsonstrata.sources import dropdir
 from test_load import make_plan
 from test_sources import drop, names
 
@@ -91,3 +92,19 @@ def test_batches_of_turns_are_joined_up(spark, prefix, folder):
     assert load_turn(spark, str(folder), plan, "t1", **LIMITS) == 0
     assert names(waiting_files(spark, str(folder), plan, sweep=True)) == []
     assert loaded(spark, plan) == ["A0", "A1", "A2"]
+
+
+@pytest.mark.parametrize("named", [0, 1_000])
+def test_many_files_are_taken_without_a_path_each(spark, prefix, folder, tmp_path, monkeypatch, named):
+    monkeypatch.setattr(dropdir, "NAMED_FILES", named)
+    opened = []
+    literal = dropdir._literal
+    monkeypatch.setattr(dropdir, "_literal", lambda paths: opened.append(len(paths)) or literal(paths))
+    plan, done = make_plan(spark, prefix), str(tmp_path / "done")
+    drop(folder, "a{b}[c] d.json", '{"_extract_id":"X"}', 301)
+    drop(folder, "big.json", "x" * 101, 302)
+    for turn, left in [("t0", 2), ("t1", 2), ("t2", 1), ("t3", 0)]:
+        assert load_turn(spark, str(folder), plan, turn, archive_dir=done, **LIMITS) == left
+    assert loaded(spark, plan) == ["A0", "A1", "A2", "X"]
+    assert opened == ([] if named == 0 else [2, 2, 1])
+    assert not list(folder.glob("*.json")) and len(list((tmp_path / "done").rglob("*.json"))) == 5

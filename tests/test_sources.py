@@ -5,9 +5,12 @@ from pyspark.sql import functions as F
 
 from fixtures import messages, rows
 from jsonstrata.operators.membership import packed_filter
+from jsonstrata.queries.frames import one_file_each
 from jsonstrata.session import shared_folder
+from jsonstrata.sinks import files
 from jsonstrata.sinks.signals import archive_payloads
 from jsonstrata.sinks.tables import BatchTable
+from jsonstrata.sources import dropdir
 from jsonstrata.sources.dropdir import eligible, list_files, oldest_first, read_drop_batch
 from jsonstrata.sources.envelopes import (
     open_envelopes,
@@ -203,3 +206,33 @@ def test_batch_table(spark, prefix):
 def test_as_messages_types(spark):
     df = as_messages(spark.range(1), F.lit(1), F.col("id"), F.lit("{}"))
     assert df.schema.simpleString() == "struct<partition:int,offset:bigint,json:string,source:string>"
+
+
+@pytest.mark.parametrize("local", [True, False])
+def test_a_file_for_each_row(spark, tmp_path, monkeypatch, local):
+    if not local:
+        monkeypatch.setattr(files, "local_path", lambda *_: None)
+    made = spark.createDataFrame([(1, "a\nb"), (1, "ä"), (2, "a\nb"), (None, None)], "digit int, value string")
+    for part in (made, made.where("digit = 2")):
+        one_file_each(part, str(tmp_path / "in"), end="\x00", by="digit")
+    found = sorted((p.parent.name, p.read_bytes().decode()) for p in (tmp_path / "in").rglob("*.txt"))
+    none = "digit=__HIVE_DEFAULT_PARTITION__"
+    assert found == [("digit=1", "a\nb\x00"), ("digit=1", "ä\x00"), ("digit=2", "a\nb\x00"), ("digit=2", "a\nb\x00"), (none, "\x00")]
+    # Spark's writer makes a file of checksums beside each file, and starts processes for both.
+    assert bool(list((tmp_path / "in").rglob("*.crc"))) != local
+    one_file_each(made.where("false"), str(tmp_path / "none"))
+    assert list_files(spark, str(tmp_path / "none")).where("bytes > 0").isEmpty()
+
+
+def test_many_small_files_are_scanned_by_few_tasks(spark, tmp_path):
+    rows_ = spark.range(600).select(F.to_json(F.struct("id")).alias("value"))
+    one_file_each(rows_.coalesce(2), str(tmp_path / "in"))
+    most = dropdir.TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+    assert list_files(spark, str(tmp_path / "in")).rdd.getNumPartitions() <= most
+    limits = {"suffix": ".txt", "stable_millis": 0}
+    first = read_drop_batch(spark, str(tmp_path / "in"), max_files=200, **limits).persist()
+    rest = read_drop_batch(spark, str(tmp_path / "in"), taken=first, **limits)
+    found = [{r["json"] for r in f.select("json").collect()} for f in (first, rest)]
+    assert [len(f) for f in found] == [200, 400] and not found[0] & found[1]
+    assert set.union(*found) == {f'{{"id":{i}}}\n' for i in range(600)}
+    first.unpersist()

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from fixtures import rows
 from jsonstrata.plans import turns
 from jsonstrata.plans.turns import load_turn, waiting_files
+from jsonstrata.sinks import files
 from jsonstrata.sources import dropdir
 from test_load import make_plan
 from test_sources import drop, names
@@ -108,3 +109,18 @@ def test_many_files_are_taken_without_a_path_each(spark, prefix, folder, tmp_pat
     assert loaded(spark, plan) == ["A0", "A1", "A2", "X"]
     assert opened == ([] if named == 0 else [2, 2, 1])
     assert not list(folder.glob("*.json")) and len(list((tmp_path / "done").rglob("*.json"))) == 5
+
+
+@pytest.mark.parametrize("local", [True, False])
+def test_the_driver_moves_no_files_of_a_store_that_tasks_open(spark, folder, tmp_path, monkeypatch, local):
+    if not local:
+        monkeypatch.setattr(files, "local_path", lambda *_: None)
+    asked = []
+    pool = files.ThreadPoolExecutor
+    monkeypatch.setattr(files, "ThreadPoolExecutor", lambda n: asked.append(n) or pool(n))
+    done = tmp_path / "done"
+    moves = spark.createDataFrame([(str(folder / f"f{i}.json"), f"{done}/day=1/f{i}.json") for i in range(3)], "source string, target string")
+    files.move_all(spark, moves, [str(folder), str(done)], str(tmp_path / "draft"), 2)
+    assert bool(asked) != local
+    assert sorted(p.name for p in done.rglob("*.json")) == ["f0.json", "f1.json", "f2.json"] and not list(folder.glob("*.json"))
+    assert not (tmp_path / "draft").exists()

@@ -236,3 +236,14 @@ def test_many_small_files_are_scanned_by_few_tasks(spark, tmp_path):
     assert [len(f) for f in found] == [200, 400] and not found[0] & found[1]
     assert set.union(*found) == {f'{{"id":{i}}}\n' for i in range(600)}
     first.unpersist()
+
+
+def test_payload_files_are_scanned_by_few_tasks(spark, tmp_path):
+    rows_ = spark.range(600).select(F.col("id").cast("string").alias("value"))
+    one_file_each(rows_.coalesce(2), str(tmp_path / "in"), end="")
+    payloads = read_payloads(spark, str(tmp_path / "in"))
+    assert payloads.rdd.getNumPartitions() <= dropdir.TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+    assert {r["payload"] for r in payloads.collect()} == {str(i) for i in range(600)}
+    stored = payloads.select("payload_ref")
+    assert "content" not in stored._jdf.queryExecution().optimizedPlan().toString().split("Relation")[0]
+    assert stored.distinct().count() == 600
